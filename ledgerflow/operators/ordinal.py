@@ -4,6 +4,7 @@
 (unique) order, each partition numbers its rows locally (``monotonically_increasing_id`` holds
 the partition id in its upper bits and the position in the lower 33 bits), and per-partition
 counts (one row per partition: a proven bound) are turned into offsets and broadcast back.
+The numbered rows are checkpointed once so that counts and rows agree (see ``_ranged``).
 """
 
 from __future__ import annotations
@@ -13,18 +14,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.session import shuffle_partitions
+from ledgerflow.session import checkpoint_root, shuffle_partitions
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def _ranged(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    return (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    """Range-partitioned, locally sorted and numbered rows, materialized once.
+
+    Range bounds come from a sample whose seed depends on the RDD id, so two evaluations of the
+    same plan may cut the ranges differently; the counts and the rows must therefore come from
+    one materialization. A reliable checkpoint (shared checkpoint folder) gives that and also
+    survives the loss of executors."""
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = num_partitions or shuffle_partitions(spark)
+    ranged = (df.repartitionByRange(n, *order)
+                .sortWithinPartitions(*order)
+                .withColumn("_mid", F.monotonically_increasing_id())
+                .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    return ranged.checkpoint(eager=True)
 
 
 def row_index(df: DataFrame, order: Sequence[str | Column], start: int = 1, name: str = "row_idx",

@@ -1 +1,93 @@
-"""placeholder"""
+"""Outlier notices: one payload per company (K8/N5/N4/A6), its records as a sorted CSV in base64
+(T2/N6/F16), and a JSON frame parsed with a forced text column (S11/F17)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerflow.functions.scalar import left_chars
+from ledgerflow.operators.nested import as_objects, csv_base64, join_text, list_size, nest_ordered
+from ledgerflow.plans.catalog import register
+from ledgerflow.sources.files import parse_json_column
+from ledgerflow.sources.tables import read_table
+
+# ---------------------------------------------------------------------------------------------
+# Fixed values that must equal the reference's output: the attachment's CSV header, in order.
+ATTACHMENT_HEADER = ["Numéro du bordereau", "Type de bordereau", "Quantité en tonne", "Date de réception"]
+# ---------------------------------------------------------------------------------------------
+TEMPLATE_ID = 1          # message template of the notice (a job parameter)
+MAX_ITEMS = 1000         # items per payload part: a company with more gets several parts
+
+
+def notice_payload(to, company_name, siret, n_items):
+    return F.struct(
+        to.alias("to"),
+        F.lit(TEMPLATE_ID).alias("templateId"),
+        F.struct(company_name.alias("nom_societe"), siret.alias("siret"), n_items.alias("num_bordereaux")).alias("params"),
+    )
+
+
+@register("array_payload", """
+WITH r AS (SELECT conv_id, role, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS rn FROM conversations)
+SELECT conv_id, rn // 1000 AS part,
+       string_agg(role, ',' ORDER BY rn) AS roles,
+       count(*) AS n_turns,
+       CAST(to_json(list({'email': role} ORDER BY rn)) AS VARCHAR) AS recipients,
+       CAST(to_json({'to': list({'email': role} ORDER BY rn), 'templateId': 1,
+                     'params': {'nom_societe': 'conversation ' || CAST(conv_id AS VARCHAR),
+                                'siret': CAST(conv_id AS VARCHAR), 'num_bordereaux': count(*)}}) AS VARCHAR) AS payload
+FROM r GROUP BY conv_id, rn // 1000
+""")
+def array_payload_q(spark: SparkSession, sf: str) -> DataFrame:
+    conv = read_table(spark, sf, "conversations")
+    nested = nest_ordered(conv, ["conv_id"], ["turn"], ["role"], name="turns", max_items=MAX_ITEMS)
+    roles = F.transform("turns", lambda x: x["role"])
+    to = as_objects(roles, "email")
+    n = list_size("turns").cast("bigint")
+    payload = notice_payload(to, F.concat(F.lit("conversation "), F.col("conv_id").cast("string")),
+                             F.col("conv_id").cast("string"), n)
+    return nested.select("conv_id", "part", join_text(roles).alias("roles"), n.alias("n_turns"),
+                         F.to_json(to).alias("recipients"), F.to_json(payload).alias("payload"))
+
+
+@register("nested_csv_base64", r"""
+WITH r AS (
+  SELECT o_custkey,
+         (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1) AS rn,
+         CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',' ||
+         CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) || ',' || strftime(o_orderdate, '%Y-%m-%d') AS line
+  FROM orders)
+SELECT o_custkey AS siret, rn // 1000 AS part, count(*) AS n_items,
+       base64(encode('Numéro du bordereau,Type de bordereau,Quantité en tonne,Date de réception' || chr(10) ||
+                     string_agg(line, chr(10) ORDER BY rn) || chr(10))) AS attachment
+FROM r GROUP BY o_custkey, rn // 1000
+""")
+def nested_csv_base64_q(spark: SparkSession, sf: str) -> DataFrame:
+    o = read_table(spark, sf, "orders")
+    items = [F.col("o_orderkey").alias("readable_id"), F.col("o_orderpriority").alias("bordereau_type"),
+             F.round(F.col("o_totalprice") * 100).cast("bigint").alias("quantity"),
+             F.date_format("o_orderdate", "yyyy-MM-dd").alias("received_at")]
+    # Records sorted by reception date, ties by id (a total order), in bounded parts.
+    nested = nest_ordered(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], items, name="bordereaux", max_items=MAX_ITEMS)
+    return nested.select(
+        F.col("o_custkey").alias("siret"), "part",
+        list_size("bordereaux").cast("bigint").alias("n_items"),
+        csv_base64("bordereaux", ATTACHMENT_HEADER, ["readable_id", "bordereau_type", "quantity", "received_at"]).alias("attachment"),
+    )
+
+
+@register("json_typed", """
+SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS siret,
+       substr(lpad(CAST(c_custkey AS VARCHAR), 14, '0'), 1, 10) AS siret_head,
+       c_name AS company_name, c_acctbal AS balance
+FROM customer
+""")
+def json_typed_q(spark: SparkSession, sf: str) -> DataFrame:
+    c = read_table(spark, sf, "customer")
+    text = F.to_json(F.struct(F.col("c_custkey"), F.lpad(F.col("c_custkey").cast("string"), 14, "0").alias("siret"),
+                              F.col("c_name").alias("company_name"), F.col("c_acctbal").alias("balance")))
+    frame = c.select(text.alias("json"))
+    parsed = frame.select(parse_json_column("json", "c_custkey bigint, siret string, company_name string, balance double").alias("r"))
+    return parsed.select("r.c_custkey", "r.siret", left_chars("r.siret", 10).alias("siret_head"),
+                         "r.company_name", "r.balance")
