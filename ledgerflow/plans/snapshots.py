@@ -1 +1,170 @@
-"""placeholder"""
+"""Snapshot loads: headed CSV bound by position to a declared schema (S4/S4n/K3/K6), archives
+with chosen members (S6/P15), headless ``;`` files with NA tokens replaced at a load time
+(S5/F13/F14/K1/I4), and the NA-token rule itself on a headed all-string re-read (S10/F13)."""
+
+from __future__ import annotations
+
+import io
+import tarfile
+import zipfile
+from datetime import datetime
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerflow.functions.scalar import NA_TOKENS, run_timestamp
+from ledgerflow.plans.catalog import register
+from ledgerflow.session import scratch_path
+from ledgerflow.sinks.writers import publish, read_published, truncate_load
+from ledgerflow.sources.archives import parse_member_csv, read_archive_lines
+from ledgerflow.sources.files import read_headless_csv, read_snapshot_csv, read_string_csv
+from ledgerflow.sources.tables import read_table
+
+
+def write_csv_file(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
+    """Producer side of a CSV delivery (test input): RFC-4180 quoting, values kept verbatim."""
+    (df.write.mode("overwrite").option("header", header).option("sep", sep).option("quote", '"')
+       .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
+
+
+# ---------------------------------------------------------------------------------------------
+# snapshot_csv (S4/S4n/K3/K6)
+
+SNAPSHOT_SCHEMA = "siren string, siret string, denomination string, code_commune int, solde double, secteur string, date_creation date"
+
+
+def register_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    c = read_table(spark, sf, "customer")
+    name = F.when(F.col("c_nationkey") == 1, F.concat(F.col("c_name"), F.lit(' "Ltd", line\nnext'))).otherwise(F.col("c_name"))
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")) \
+               .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("string")).otherwise(F.col("c_mktsegment"))
+    return c.select(
+        F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("siren_code"),
+        F.lpad(F.col("c_custkey").cast("string"), 14, "0").alias("siret_code"),
+        name.alias("name"), F.col("c_nationkey").alias("commune"), F.col("c_acctbal").alias("balance"),
+        segment.alias("segment"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("created"),
+    )
+
+
+@register("snapshot_csv", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS siren, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS siret,
+       CASE WHEN c_nationkey = 1 THEN c_name || ' "Ltd", line' || chr(10) || 'next' ELSE c_name END AS denomination,
+       c_nationkey AS code_commune, c_acctbal AS solde,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c_mktsegment END AS secteur,
+       DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS date_creation
+FROM customer
+""")
+def snapshot_csv_q(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "snapshot_csv")
+    write_csv_file(register_snapshot(spark, sf), f"{root}/delivery")   # the delivered file (other header names)
+    rows = read_snapshot_csv(spark, f"{root}/delivery", SNAPSHOT_SCHEMA)  # bound by position
+    schema = rows.schema
+    truncate_load(rows, f"{root}/table", "v=1", schema)
+    truncate_load(rows, f"{root}/table", "v=2", schema)  # monthly reload: schema kept, table replaced
+    return read_published(spark, f"{root}/table")
+
+
+# ---------------------------------------------------------------------------------------------
+# archive_members (S6/P15): one archive per region (zip for region 0, tar.gz otherwise) with the
+# wanted members, a version file and an unwanted member.
+
+WANTED_MEMBERS = ["nations.csv", "region.csv"]
+NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
+
+
+def _archive_writer(root: str):
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs as pafs
+        region = int(pdf["n_regionkey"].iloc[0])
+        nations = "".join(f"{k};{n};{r}\n" for k, n, r in zip(pdf["n_nationkey"], pdf["n_name"], pdf["n_regionkey"]))
+        members = {"nations.csv": nations, "region.csv": f"{region};{pdf['r_name'].iloc[0]}\n",
+                   "version": "1\n", "notes.txt": "not wanted\n"}
+        buf = io.BytesIO()
+        if region == 0:
+            name = f"region_{region}.zip"
+            with zipfile.ZipFile(buf, "w") as z:
+                for m, text in members.items():
+                    z.writestr(m, text)
+        else:
+            name = f"region_{region}.tar.gz"
+            with tarfile.open(fileobj=buf, mode="w:gz") as tar:
+                for m, text in members.items():
+                    data = text.encode("utf-8")
+                    info = tarfile.TarInfo(m)
+                    info.size = len(data)
+                    tar.addfile(info, io.BytesIO(data))
+        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem.create_dir(base, recursive=True)
+        with filesystem.open_output_stream(f"{base}/{name}", compression=None) as out:
+            out.write(buf.getvalue())
+        return pd.DataFrame({"archive": [name], "members": [len(members)]})
+    return write
+
+
+@register("archive_members", """
+SELECT 'region_' || CAST(n_regionkey AS VARCHAR) || CASE WHEN n_regionkey = 0 THEN '.zip' ELSE '.tar.gz' END AS archive,
+       CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
+FROM nation
+""")
+def archive_members_q(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "archives")
+    nations = read_table(spark, sf, "nation").join(read_table(spark, sf, "region")
+                                                   .select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
+    # One archive per region, each written by the task that holds that region's rows.
+    written = nations.groupBy("n_regionkey").applyInPandas(_archive_writer(root), "archive string, members int")
+    written.collect()  # small: one row per archive written
+    lines = read_archive_lines(spark, root, WANTED_MEMBERS)
+    return parse_member_csv(lines, "nations.csv", NATION_COLUMNS).select("archive", *NATION_COLUMNS)
+
+
+# ---------------------------------------------------------------------------------------------
+# sites_snapshot
+
+SITE_COLUMNS = ["codeS3ic", "nomEts", "codeCommuneEtablissement", "rayon"]
+LOAD_TIME = datetime(2024, 6, 3, 2, 0, 0)   # one value per run (the job passes utcnow())
+
+
+@register("sites_snapshot", """
+SELECT CAST(s_suppkey AS VARCHAR) AS codeS3ic,
+       CASE WHEN s_nationkey = 5 THEN NULL WHEN s_nationkey = 6 THEN NULL WHEN s_nationkey = 7 THEN NULL ELSE s_name END AS nomEts,
+       CAST(s_nationkey AS VARCHAR) AS codeCommuneEtablissement,
+       CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS rayon,
+       TIMESTAMP '2024-06-03 02:00:00' AS inserted_at
+FROM supplier
+""")
+def sites_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
+    s = read_table(spark, sf, "supplier")
+    name = (F.when(F.col("s_nationkey") == 5, F.lit("n/a")).when(F.col("s_nationkey") == 6, F.lit("NULL"))
+             .when(F.col("s_nationkey") == 7, F.lit("")).otherwise(F.col("s_name")))
+    delivery = s.select(F.col("s_suppkey").cast("string"), name, F.col("s_nationkey").cast("string"),
+                        F.col("s_acctbal").cast("decimal(12,2)").cast("string"))
+    root = scratch_path(spark, "sites_snapshot")
+    write_csv_file(delivery, f"{root}/delivery", header=False, sep=";")
+    rows = read_headless_csv(spark, f"{root}/delivery", SITE_COLUMNS, sep=";")
+    publish(rows.withColumn("inserted_at", run_timestamp(LOAD_TIME)), f"{root}/table", "v=1")   # replace
+    return read_published(spark, f"{root}/table")
+
+
+# ---------------------------------------------------------------------------------------------
+# na_tokens (S10/F13): 19 NA tokens and 6 look-alikes that must survive.
+
+DECOYS = ["NA ", "na", "Nan", "NONE", "-", "n.a."]
+TOKENS = NA_TOKENS + DECOYS
+_TOKEN_SQL = "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in TOKENS) + "]"
+_NA_SQL = "(" + ", ".join("'" + t + "'" for t in NA_TOKENS) + ")"
+
+
+@register("na_tokens", f"""
+WITH t AS (SELECT p_partkey, ({_TOKEN_SQL})[CAST(p_partkey % {len(TOKENS)} AS INTEGER) + 1] AS raw FROM part)
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, CASE WHEN raw IN {_NA_SQL} THEN NULL ELSE raw END AS p_name
+FROM t
+""")
+def na_tokens_q(spark: SparkSession, sf: str) -> DataFrame:
+    p = read_table(spark, sf, "part")
+    raw = F.element_at(F.array(*[F.lit(t) for t in TOKENS]), (F.col("p_partkey") % len(TOKENS)).cast("int") + 1)
+    root = scratch_path(spark, "na_tokens")
+    write_csv_file(p.select("p_partkey", raw.alias("p_name")), root)
+    return read_string_csv(spark, root, ["p_partkey", "p_name"])

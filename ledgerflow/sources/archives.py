@@ -15,9 +15,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerflow.sources.files import string_schema
 
 MEMBER_LINES_SCHEMA = "archive string, member string, line_no bigint, line string"
 
@@ -66,8 +64,7 @@ def read_archive_lines(spark: SparkSession, path: str, members: Sequence[str] |
 def parse_member_csv(lines: DataFrame, member: str, names: Sequence[str], sep: str = ";") -> DataFrame:
     """S5 applied to one member's lines: ``from_csv`` with an all-string schema, in the JVM.
     Lines holding only whitespace are skipped; the archive/line columns are kept."""
-    schema: T.StructType = string_schema(names)
+    ddl = ", ".join(f"`{n}` string" for n in names)
     parsed = (lines.where((F.col("member") == member) & (F.trim(F.col("line")) != ""))
-                   .select("archive", "line_no", F.from_csv(F.col("line"), schema.simpleString().replace("struct<", "").rstrip(">"),
-                                                            {"sep": sep, "mode": "FAILFAST"}).alias("_r")))
+                   .select("archive", "line_no", F.from_csv(F.col("line"), ddl, {"sep": sep, "mode": "FAILFAST"}).alias("_r")))
     return parsed.select("archive", "line_no", "_r.*")
