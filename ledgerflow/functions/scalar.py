@@ -87,7 +87,9 @@ def year_week(day_text: str | Column, week: str | Column) -> Column:
 
 
 def seconds_between(later: str | Column, earlier: str | Column) -> Column:
-    return F.unix_timestamp(col_(later).cast("timestamp")) - F.unix_timestamp(col_(earlier).cast("timestamp"))
+    """Whole seconds from ``earlier`` to ``later`` on wall-clock (TIMESTAMP_NTZ) values: no time
+    zone enters, so a daylight-saving change of the session zone cannot shift the result."""
+    return F.timestamp_diff("SECOND", col_(earlier).cast("timestamp_ntz"), col_(later).cast("timestamp_ntz"))
 
 
 def delay_hours(later: str | Column, earlier: str | Column) -> Column:
