@@ -54,14 +54,18 @@ def explode_children(df: DataFrame, parent_key: str, children: str,
 def nest_ordered(df: DataFrame, group: Sequence[str], order: Sequence[str], items: Sequence[str | Column],
                  name: str = "items", max_items: int = 1000, part: str = "part") -> DataFrame:
     """Rows -> ``(group..., part, name ARRAY<STRUCT<items>>)`` in ``order``; part ``k`` holds the
-    items ``k*max_items+1 .. (k+1)*max_items`` of its group. ``order`` must be total."""
+    items ``k*max_items+1 .. (k+1)*max_items`` of its group. Rows tied in ``order`` are placed
+    in one fixed (materialized) order; give a total order when the list order matters."""
     item_cols = [F.col(c) if isinstance(c, str) else c for c in items]
-    numbered = grouped_row_index(df, group, order, start=0, name="_rn")
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    # carry only what the lists need through the numbering (and its checkpoint)
+    slim = df.select(*[F.col(g) for g in group], *[c.alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                     F.struct(*item_cols).alias("_item"))
+    numbered = grouped_row_index(slim, group, [f"_o{i}" for i in range(len(order_cols))], start=0, name="_rn")
     numbered = numbered.withColumn(part, F.floor(F.col("_rn") / F.lit(max_items)).cast("bigint"))
-    agg = numbered.groupBy(*group, part).agg(F.collect_list(F.struct(F.col("_rn"), *item_cols)).alias("_l"))
-    fields = [f for f in agg.schema["_l"].dataType.elementType.fieldNames() if f != "_rn"]
+    agg = numbered.groupBy(*group, part).agg(F.collect_list(F.struct(F.col("_rn"), F.col("_item"))).alias("_l"))
     ordered = F.array_sort(F.col("_l"))
-    return agg.select(*group, part, F.transform(ordered, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name))
+    return agg.select(*group, part, F.transform(ordered, lambda x: x["_item"]).alias(name))
 
 
 def as_objects(arr: str | Column, field: str) -> Column:

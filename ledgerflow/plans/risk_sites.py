@@ -139,9 +139,7 @@ def site_records(spark: SparkSession, sf: str) -> DataFrame:
     """Stand-in API records: one per order with its lines as a ``rubriques`` list (lists of at
     most 1000 items; an order without lines has a null list)."""
     li = read_table(spark, sf, "lineitem")
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-             "l_returnflag", "l_linestatus", "l_shipdate"]
-    nested = nest_ordered(li, ["l_orderkey"], order,
+    nested = nest_ordered(li, ["l_orderkey"], ["l_linenumber"],
                           [F.col("l_linenumber").alias("numeroRubrique"), F.col("l_returnflag").alias("regimeAutoriseAlinea"),
                            F.col("l_quantity").alias("quantiteTotale")], name="rubriques")
     parents = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("codeAIOT"), "o_orderstatus")

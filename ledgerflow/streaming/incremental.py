@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from ledgerflow.functions.scalar import as_text, log_level, log_tag, rstrip_ws
 from ledgerflow.operators.checks import assert_unique
 from ledgerflow.operators.joins import upsert
-from ledgerflow.sinks.writers import current_version, publish, read_published
+from ledgerflow.sinks.writers import current_version, publish
 
 
 def latest_per_key(df: DataFrame, key: str, sequence: str) -> DataFrame:
@@ -34,13 +35,21 @@ def upsert_batch(table_path: str, key: str, update_columns: Sequence[str], seque
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = f"v={batch_id:010d}"
-        if current_version(spark, table_path) == version:
+        current = current_version(spark, table_path)
+        if current == version:
             return  # replay of a batch already published: the upsert is idempotent, nothing to do
-        if batch.isEmpty():
-            return
-        target = read_published(spark, table_path)
-        source = latest_per_key(batch, key, sequence).select(*target.columns)
-        publish(upsert(target, source, key, update_columns, small_source_rows=small_source_rows), table_path, version)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read the landed files once per batch
+        try:
+            if batch.isEmpty():
+                return
+            target = spark.read.parquet(f"{table_path}/{current}")
+            source = latest_per_key(batch, key, sequence).select(*target.columns)
+            # latest_per_key already guarantees one row per key
+            merged = upsert(target, source, key, update_columns, check_source=False,
+                            small_source_rows=small_source_rows)
+            publish(merged, table_path, version)
+        finally:
+            batch.unpersist()
     return run
 
 
