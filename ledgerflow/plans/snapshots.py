@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalar import NA_TOKENS, run_timestamp
+from ledgerflow.operators.checks import observe_count
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks.writers import publish, read_published, truncate_load
@@ -144,8 +145,13 @@ def sites_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "sites_snapshot")
     write_csv_file(delivery, f"{root}/delivery", header=False, sep=";")
     rows = read_headless_csv(spark, f"{root}/delivery", SITE_COLUMNS, sep=";")
-    publish(rows.withColumn("inserted_at", run_timestamp(LOAD_TIME)), f"{root}/table", "v=1")   # replace
-    return read_published(spark, f"{root}/table")
+    loaded, seen = observe_count(rows.withColumn("inserted_at", run_timestamp(LOAD_TIME)), "sites_loaded")
+    publish(loaded, f"{root}/table", "v=1")   # replace
+    table = read_published(spark, f"{root}/table")
+    # A3: the row count observed while writing (no extra scan) must equal the delivery's rows
+    if seen.get["rows"] != s.count():
+        raise ValueError(f"loaded {seen.get['rows']} rows, delivered {s.count()}")
+    return table
 
 
 # ---------------------------------------------------------------------------------------------

@@ -16,7 +16,9 @@ from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_le
 from ledgerflow.operators.nested import join_text
 from ledgerflow.operators.ordinal import load_point, row_index
 from ledgerflow.plans.catalog import register
-from ledgerflow.session import session_time_zone
+from ledgerflow.session import scratch_path, session_time_zone
+from ledgerflow.sinks.writers import publish, read_published
+from ledgerflow.sources.files import read_array_pages
 from ledgerflow.sources.tables import read_table
 
 # ---------------------------------------------------------------------------------------------
@@ -237,20 +239,40 @@ def _tickets(spark: SparkSession, sf: str) -> DataFrame:
                     F.date_format("ts", "yyyy-MM-dd").alias("day"))
 
 
+TICKET_PAGE_ROWS = 50
+TICKET_SCHEMA = "number bigint, ts timestamp_ntz, created_at string, day string"
+
+
+def land_ticket_pages(tickets: DataFrame, path: str) -> None:
+    """The ticket service's answer as landed files: pages of 50 tickets in creation order, each
+    page one JSON array (one page per line). Pages are bounded by the page size."""
+    numbered = row_index(tickets, ["ts", "number"], start=0, name="_i")
+    pages = numbered.groupBy(F.expr(f"_i div {TICKET_PAGE_ROWS}").alias("page")).agg(
+        F.to_json(F.collect_list(F.struct("number", "ts", "created_at", "day"))).alias("value"))
+    pages.select("value").write.mode("overwrite").text(path)
+
+
 @register("report_reload", """
 SELECT row_number() OVER (ORDER BY ts, event_id) + 1 AS row_idx, event_id AS number,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at, strftime(ts, '%Y-%m-%d') AS day
 FROM events WHERE strftime(ts, '%Y-%m-%d') <= '2024-01-30'
 """)
 def report_reload_q(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "report_reload")
     tickets = _tickets(spark, sf)
     cols = ["row_idx", "number", "created_at", "day"]
-    existing = row_index(tickets.where(F.col("day") < F.lit(f"{LAST_BUILD:%Y-%m-%d}")), ["ts", "number"], start=2) \
-        .select(*cols)
-    start_day = RUN_START - timedelta(days=7)            # F15
+    # the report as the previous run left it (header on row 1)
+    existing = row_index(tickets.where(F.col("day") < F.lit(f"{LAST_BUILD:%Y-%m-%d}")), ["ts", "number"], start=2)
+    publish(existing.select(*cols), f"{root}/report", "v=1")
+    report = read_published(spark, f"{root}/report")                       # S13: read the report back
+    start_day = RUN_START - timedelta(days=7)                               # F15
     end_day = RUN_END - timedelta(days=1)
-    point = load_point(existing, "row_idx", "day", "number", f"{start_day:%Y-%m-%d}", first_position=2).first()
-    reload = tickets.where(closed_interval("day", f"{start_day:%Y-%m-%d}", f"{end_day:%Y-%m-%d}")
+    point = load_point(report, "row_idx", "day", "number", f"{start_day:%Y-%m-%d}", first_position=2).first()
+    # P9 + P10: the service query; its answer lands as array pages (S9) and is read back as one union
+    wanted = tickets.where(closed_interval("day", f"{start_day:%Y-%m-%d}", f"{end_day:%Y-%m-%d}")
                            & at_least("number", point["next_number"]))
-    reload = row_index(reload, ["ts", "number"], start=point["next_row_idx"]).select(*cols)
-    return upsert(existing, reload, "row_idx", ["number", "created_at", "day"])
+    land_ticket_pages(wanted, f"{root}/pages")
+    pages = read_array_pages(spark, f"{root}/pages", TICKET_SCHEMA)
+    reload = row_index(pages, ["ts", "number"], start=point["next_row_idx"]).select(*cols)
+    publish(upsert(report, reload, "row_idx", ["number", "created_at", "day"]), f"{root}/report", "v=2")  # K7
+    return read_published(spark, f"{root}/report")

@@ -67,9 +67,11 @@ def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str) -
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_array_pages(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Landed pages whose root is a JSON array: one row per element, union of all pages."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_array_pages(spark: SparkSession, path: str, schema: T.StructType | str, one_page_per_file: bool = False) -> DataFrame:
+    """Landed pages whose root is a JSON array: one row per element, union of all pages.
+    Pages are one per line (splittable) unless ``one_page_per_file`` (a pretty-printed array per
+    file, read whole)."""
+    return spark.read.schema(schema).option("multiLine", one_page_per_file).option("mode", "FAILFAST").json(path)
 
 
 def records(envelopes: DataFrame, data: str = "data") -> DataFrame:
