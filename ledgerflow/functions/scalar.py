@@ -119,8 +119,9 @@ def na_to_null(c: str | Column, tokens: list[str] | None = None) -> Column:
 
 
 def run_timestamp(ts: datetime) -> Column:
-    """one load timestamp per run, computed once on the driver (not per row/table)."""
-    return F.lit(ts).cast("timestamp_ntz")
+    """one load timestamp per run, computed once on the driver (not per row/table). Passed
+    as text so that no session or process time zone shifts the wall-clock value."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def interval_label(start: date, end: date) -> str:

@@ -264,3 +264,17 @@ def test_describe_matches_pandas(spark):
 def test_first_last_by_order(spark):
     df = spark.createDataFrame([(5, 2), (7, 1), (9, 3)], "v int, o int")
     assert tuple(first_last(df, "v", ["o"]).first()) == (5, 9, 7, 9)
+
+
+def test_run_timestamp_and_delays_ignore_session_zone(spark):
+    from datetime import datetime
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+        df = spark.createDataFrame([("2024-03-30 12:00:00", "2024-04-01 12:00:00")], "a string, b string") \
+            .select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+        r = df.select(fx.run_timestamp(datetime(2024, 6, 3, 2, 0)).cast("string").alias("t"),
+                      fx.delay_hours("b", "a").alias("h")).first()
+        assert r.t == "2024-06-03 02:00:00" and r.h == 48.0   # DST change in between: still 48 h
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
