@@ -119,8 +119,8 @@ def register_changes(spark: SparkSession, sf: str) -> DataFrame:
 def land_cursor_pages(df: DataFrame, key: str, page_rows: int, path: str) -> None:
     """Cursor envelopes ``{header:{total,nombre,curseur,curseurSuivant}, etablissements:[...]}``;
     the last page's next cursor repeats its own (where the client stops)."""
-    total = df.count()
-    last = df.agg(F.max(F.expr(f"{key} div {page_rows}"))).first()[0]
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.expr(f"{key} div {page_rows}")).alias("last")).first()
+    total, last = stats["n"], stats["last"]
     cols = [F.col(c) for c in df.columns]
     page = F.expr(f"{key} div {page_rows}")
     env = df.withColumn("_p", page).groupBy("_p").agg(F.collect_list(F.struct(*cols)).alias("etablissements"),

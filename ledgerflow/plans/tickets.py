@@ -244,10 +244,10 @@ TICKET_SCHEMA = "number bigint, ts timestamp_ntz, created_at string, day string"
 
 
 def land_ticket_pages(tickets: DataFrame, path: str) -> None:
-    """The ticket service's answer as landed files: pages of 50 tickets in creation order, each
-    page one JSON array (one page per line). Pages are bounded by the page size."""
-    numbered = row_index(tickets, ["ts", "number"], start=0, name="_i")
-    pages = numbered.groupBy(F.expr(f"_i div {TICKET_PAGE_ROWS}").alias("page")).agg(
+    """The ticket service's answer as landed files: pages of up to 50 tickets by ticket number,
+    each page one JSON array (one page per line). Numbers are unique, so a page never holds more
+    than 50 tickets."""
+    pages = tickets.groupBy(F.expr(f"number div {TICKET_PAGE_ROWS}").alias("page")).agg(
         F.to_json(F.collect_list(F.struct("number", "ts", "created_at", "day"))).alias("value"))
     pages.select("value").write.mode("overwrite").text(path)
 
