@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ledgerflow.session import ship_with_tasks
+
 
 def batch_enrich(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], result_schema: T.StructType | str,
                  batch_rows: int = 5_000) -> DataFrame:
@@ -21,3 +23,6 @@ def batch_enrich(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], resu
             for i in range(0, len(pdf), batch_rows):
                 yield fn(pdf.iloc[i:i + batch_rows].reset_index(drop=True))
     return df.mapInPandas(run, result_schema)
+
+
+ship_with_tasks(__name__)

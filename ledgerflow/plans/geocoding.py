@@ -12,6 +12,7 @@ from ledgerflow.operators.enrich import batch_enrich
 from ledgerflow.operators.filters import missing_position_with_address
 from ledgerflow.plans.catalog import register
 from ledgerflow.sources.tables import read_table
+from ledgerflow.session import ship_with_tasks
 
 # Stand-in columns: latitude/longitude are missing for one segment / one nation, the
 # warehouse address is the segment, the register address is the name (missing for one name).
@@ -72,3 +73,6 @@ def batch_enrich_q(spark: SparkSession, sf: str) -> DataFrame:
         read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
     return batch_enrich(rows.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "n_name"),
                         normalise_address, ENRICH_SCHEMA)
+
+
+ship_with_tasks(__name__)

@@ -21,6 +21,7 @@ from ledgerflow.sinks.writers import publish, read_published, truncate_load
 from ledgerflow.sources.archives import parse_member_csv, read_archive_lines
 from ledgerflow.sources.files import read_headless_csv, read_snapshot_csv, read_string_csv
 from ledgerflow.sources.tables import read_table
+from ledgerflow.session import ship_with_tasks
 
 
 def write_csv_file(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
@@ -174,3 +175,6 @@ def na_tokens_q(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "na_tokens")
     write_csv_file(p.select("p_partkey", raw.alias("p_name")), root)
     return read_string_csv(spark, root, ["p_partkey", "p_name"])
+
+
+ship_with_tasks(__name__)

@@ -67,3 +67,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def session_time_zone(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.session.timeZone", "UTC")
+
+
+def ship_with_tasks(module_name: str) -> None:
+    """Functions of ``module_name`` that run in Python workers (archive members, batch functions)
+    are pickled by value, so executors need no installed copy of this package."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.session import ship_with_tasks
+
 
 MEMBER_LINES_SCHEMA = "archive string, member string, line_no bigint, line string"
 
@@ -68,3 +70,6 @@ def parse_member_csv(lines: DataFrame, member: str, names: Sequence[str], sep: s
     parsed = (lines.where((F.col("member") == member) & (F.trim(F.col("line")) != ""))
                    .select("archive", "line_no", F.from_csv(F.col("line"), ddl, {"sep": sep, "mode": "FAILFAST"}).alias("_r")))
     return parsed.select("archive", "line_no", "_r.*")
+
+
+ship_with_tasks(__name__)
