@@ -29,9 +29,10 @@ PER_CLASS = 700           # bound of the training sample: labelled rows of each
 MIN_WORDS = 10            # base rules: fewer words fail,
 MAX_REPEAT_PERCENT = 20   # and more than so many percent of words in repeated 5-word windows
 WINDOW = 5
-MIN_PROBABILITY = 0.5     # fixed threshold on the calibrated probability of quality 1
+MIN_PROBABILITY = 0.02    # fixed threshold on the calibrated probability of quality 1: only clear junk goes
 SYMBOLS = b"#*$%&|<>"
 SCALE = 20.0              # shares of a text are small numbers; one factor for all features
+SHRINK = 20               # added to a text's number of features: short texts say less
 
 SCHEMA = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
           "n_repeat_words bigint, base_failed boolean, kept boolean, quality_probability double")
@@ -129,7 +130,7 @@ class Batch:
         n_texts = len(self.offsets) - 1
         out = np.full(n_texts, bias)
         for bucket, text, count in self.families():
-            out += SCALE * np.bincount(text, weights[bucket], n_texts) / np.maximum(count, 1)
+            out += SCALE * np.bincount(text, weights[bucket], n_texts) / (count + SHRINK)
         return out
 
 
@@ -142,7 +143,7 @@ def sparse_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             cell, n = np.unique(text.astype(np.int64) * (3 * DIMS) + bucket, return_counts=True)
             owner, bucket = cell // (3 * DIMS), cell % (3 * DIMS)
             cut = np.searchsorted(owner, np.arange(rows + 1))
-            share = SCALE * n / np.maximum(count, 1)[owner]
+            share = SCALE * n / (count[owner] + SHRINK)
             for i in range(rows):
                 parts[i].append((bucket[cut[i]:cut[i + 1]].astype(np.int32), share[cut[i]:cut[i + 1]].astype(np.float32)))
         cols = [np.concatenate([x[0] for x in p]).tobytes() if p else b"" for p in parts]
