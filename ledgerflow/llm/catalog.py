@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.llm import decontaminate, line_dedup, mixing
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -31,8 +33,31 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: list[QueryFn] = [op1_token_counts, op4_quality_rules, op5_quality_classifier]
-ORACLE_SQL: dict[str, str] = {}
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digest(table(spark, sf_dir, "documents"))
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerflow.llm.lm_score import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerflow.llm.simhash import simhash_digest
+    return simhash_digest(table(spark, sf_dir, "documents"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+QUERIES: list[QueryFn] = [op1_token_counts, op3_line_dedup, op4_quality_rules, op5_quality_classifier, op6_lm_score,
+                          op7_decontamination, op9_simhash_dedup, op10_source_mix]
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontaminate.ORACLE, "op10_source_mix": mixing.ORACLE}
 
 
 def queries() -> dict[str, QueryFn]:
