@@ -46,6 +46,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerflow.llm.substring_dedup import substring_digest
+    return substring_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerflow.llm.simhash import simhash_digest
     return simhash_digest(table(spark, sf_dir, "documents"))
@@ -56,7 +61,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[QueryFn] = [op1_token_counts, op3_line_dedup, op4_quality_rules, op5_quality_classifier, op6_lm_score,
-                          op7_decontamination, op9_simhash_dedup, op10_source_mix]
+                          op7_decontamination, op8_substring_dedup, op9_simhash_dedup, op10_source_mix]
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontaminate.ORACLE, "op10_source_mix": mixing.ORACLE}
 
 
