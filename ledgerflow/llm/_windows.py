@@ -37,6 +37,7 @@ CONTENT_BITS = 48        # of a path's content hash
 BLOCK_PATHS = 1_000_000  # paths (or BLOCK_DOCS documents) of a block
 BLOCK_DOCS = 60_000
 BASE_MIX = 0x5851F42D4C957F2D
+SHARD_SYMBOLS = 2 << 20  # symbols judged at a time, or more where those of one anchor are more
 
 FOUND = "kind int, part int, payload binary"
 SPAN, REQUEST, BRANCH = 1, 2, 3
@@ -200,7 +201,8 @@ def resolve(spec: Windows, parts: int):
             kind_no = np.repeat(np.arange(len(kinds)), size)[branching]
             _, kind_no = np.unique(kind_no, return_inverse=True)
             doc, th, start, n = doc[branching], th[branching], start[branching], n[branching]
-            rows.append((BRANCH, here, pack(kind_no.astype(np.uint32), doc, th, start, n)))
+            meet = np.cumsum(np.append(0, rest[branching][1:] != rest[branching][:-1])).astype(np.uint32)
+            rows.append((BRANCH, here, pack(meet, kind_no.astype(np.uint32), doc, th, start, n)))
             rep = groups([kind_no])
             rows += by_document(REQUEST, parts, doc[rep], th[rep], np.full(len(rep), here, np.uint32), kind_no[rep].astype(np.uint32),
                                 start[rep], (n[rep] + spec.width - 1).astype(np.uint32))
@@ -295,7 +297,7 @@ def settle(spec: Windows, parts: int, judge):
                     got.append(unpack(raw.as_py()))
         if branch is None:
             return
-        kind_no, doc, th, start, n = branch
+        meet, kind_no, doc, th, start, n = branch
         rep = groups([kind_no])
         places = np.diff(np.append(rep, len(kind_no)))
         # one text for each distinct path, in the order of their numbers (a repeated row answers twice)
@@ -307,7 +309,12 @@ def settle(spec: Windows, parts: int, judge):
         size, at = size[pick], at[pick]
         first = np.append(0, np.cumsum(size))
         text = text[np.repeat(at - first[:-1], size) + np.arange(first[-1])]
-        value = judge(doc[rep], places, first, text)
+        # paths that meet at one anchor are judged together, and as many anchors as fill a shard
+        bound, value = np.append(groups([meet[rep]]), len(rep)), []
+        shard = np.append(groups([first[bound[1:]] // SHARD_SYMBOLS]), len(bound) - 1)
+        for i, j in zip(bound[shard[:-1]], bound[shard[1:]], strict=True):
+            value.append(judge(doc[rep][i:j], places[i:j], first[i:j + 1] - first[i], text[first[i]:first[j]]))
+        value = np.concatenate(value)
         # windows of every place: those of its path, against the path's values
         n = n.astype(np.int64)
         windows_first = np.append(0, np.cumsum(size - (spec.width - 1)))

@@ -33,6 +33,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerflow.llm.suffix_dedup import suffix_digest
+    return suffix_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -60,7 +65,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES: list[QueryFn] = [op1_token_counts, op3_line_dedup, op4_quality_rules, op5_quality_classifier, op6_lm_score,
+QUERIES: list[QueryFn] = [op1_token_counts, op2_suffix_dedup, op3_line_dedup, op4_quality_rules, op5_quality_classifier, op6_lm_score,
                           op7_decontamination, op8_substring_dedup, op9_simhash_dedup, op10_source_mix]
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontaminate.ORACLE, "op10_source_mix": mixing.ORACLE}
 
