@@ -49,11 +49,16 @@ def year_bucket(year: str | Column, first: int, last: int) -> Column:
     return F.when(y.isNull(), F.lit(None)).otherwise(F.least(F.greatest(y, F.lit(first)), F.lit(last))).cast("bigint")
 
 
-def parse_utc(c: str | Column, tz: str = "UTC") -> Column:
-    """ISO text (with or without offset) -> UTC wall-clock TIMESTAMP_NTZ. Null stays null;
-    a malformed value raises under ANSI mode, as the reference's parser does."""
-    instant = F.to_timestamp(col_(c))
-    return F.to_utc_timestamp(instant, tz).cast("timestamp_ntz")
+def parse_utc(c: str | Column) -> Column:
+    """ISO text -> UTC wall-clock TIMESTAMP_NTZ; text without an offset is UTC. The wall clock
+    is counted from the instant itself, so no session zone or clock change moves it. Null stays
+    null; a malformed value raises under ANSI mode, as the reference's parser does."""
+    text = col_(c)
+    zoned = F.when(text.rlike(r"(Z|z|[+-]\d{2}(:?\d{2})?)$") & text.contains(":"), text) \
+             .when(text.contains(":"), F.concat(text, F.lit("Z"))).otherwise(F.concat(text, F.lit("T00:00:00Z")))
+    seconds = (F.unix_micros(F.to_timestamp(zoned)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def format_ts(c: str | Column, fmt: str = REPORT_TS_FORMAT) -> Column:

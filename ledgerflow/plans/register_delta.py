@@ -163,7 +163,7 @@ def interval_delta_q(spark: SparkSession, sf: str) -> DataFrame:
         land_cursor_pages(changes.where(closed_interval("dateDernierTraitementEtablissement", start, end)),
                           "siret", CURSOR_ROWS, landing)
         flat = flatten_one_level(read_cursor_pages(spark, landing)).withColumn("interval", F.lit(label))
-        write_interval(flat, f"{root}/table")
+        write_interval(flat, f"{root}/table", label)
     schema = ("siret bigint, denomination string, codeCommuneEtablissement string, libelleCommuneEtablissement string, "
               "etatAdministratifEtablissement string, dateDernierTraitementEtablissement date, interval string")
     return spark.read.schema(schema).parquet(f"{root}/table")

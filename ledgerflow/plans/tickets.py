@@ -16,7 +16,7 @@ from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_le
 from ledgerflow.operators.nested import join_text
 from ledgerflow.operators.ordinal import load_point, row_index
 from ledgerflow.plans.catalog import register
-from ledgerflow.session import scratch_path, session_time_zone
+from ledgerflow.session import scratch_path
 from ledgerflow.sinks.writers import publish, read_published
 from ledgerflow.sources.files import read_array_pages
 from ledgerflow.sources.tables import read_table
@@ -140,7 +140,7 @@ FROM events
 def time_parts_q(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")  # the API's UTC text
-    created = format_ts(parse_utc(iso, session_time_zone(spark)))
+    created = format_ts(parse_utc(iso))
     t = e.select("event_id", created.alias("created_at"))
     t = t.withColumn("created_day", left_chars("created_at", 10)).withColumn("created_month", left_chars("created_at", 7))
     t = t.withColumn("created_week", iso_week("created_day").cast("bigint"))

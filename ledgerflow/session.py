@@ -2,7 +2,8 @@
 
 Scratch data (written tables, streaming checkpoints, landed test drops) always goes under the
 folder the cluster names in ``spark.checkpoint.dir``: it is shared storage on a cluster. Only
-when nothing is configured (local runs, tests) a local folder is created and registered.
+on a local master with nothing configured (tests) a local folder is created and registered; a
+cluster without the setting is an error.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -51,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -15,28 +15,52 @@ class SchemaMismatch(ValueError):
     pass
 
 
+def _missing(e: AnalysisException) -> bool:
+    """Whether a read failed because its path isn't there; any other failure is one."""
+    return (e.getCondition() or "").startswith("PATH_NOT_FOUND")
+
+
 def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
     try:
         return spark.read.parquet(path).schema
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
 
 
-def _write_pointer(spark: SparkSession, path: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+def _pointers(spark: SparkSession, table_path: str) -> list[tuple[int, str]]:
+    try:
+        rows = spark.read.schema("seq bigint, version string").option("sep", "\t").csv(f"{table_path}/_published").collect()
+    except AnalysisException as e:
+        if _missing(e):
+            return []
+        raise
+    return sorted((r["seq"], r["version"]) for r in rows)  # one short line for each publication
 
 
-def _read_pointer(spark: SparkSession, path: str) -> str | None:
-    try:
-        row = spark.read.text(path).first()  # one line: the published version
-    except AnalysisException:
-        return None
-    return row[0] if row else None
+def _point_to(spark: SparkSession, table_path: str, version: str) -> None:
+    """Adds a pointer file; none is ever rewritten, so a reader always finds the newest whole one."""
+    seq = max([s for s, _ in _pointers(spark, table_path)], default=0) + 1
+    line = spark.createDataFrame([(seq, version)], "seq bigint, version string").coalesce(1)
+    line.write.mode("append").option("sep", "\t").csv(f"{table_path}/_published")
 
 
 def current_version(spark: SparkSession, table_path: str) -> str | None:
     """The published version folder of a table written by ``publish`` (None if never written)."""
-    return _read_pointer(spark, f"{table_path}/_CURRENT")
+    pointers = _pointers(spark, table_path)
+    return pointers[-1][1] if pointers else None
+
+
+def drop_old_versions(spark: SparkSession, table_path: str, keep: int = 3) -> list[str]:
+    """Deletes the folders of versions published before the last ``keep``; returns their names.
+    Readers that still hold an older version than that lose it, so keep as many as runs overlap."""
+    order = list(dict.fromkeys(v for _, v in reversed(_pointers(spark, table_path))))
+    old = order[max(1, keep):]
+    for v in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{v}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return old
 
 
 def read_published(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -50,25 +74,36 @@ def read_published(spark: SparkSession, table_path: str, schema: T.StructType |
 def publish(df: DataFrame, table_path: str, version: str, partition_by: Sequence[str] = (),
             compression: str = "zstd") -> str:
     """K1: replace a table: write ``<table>/<version>`` (a retried write of the same version
-    overwrites only that folder), then switch the ``_CURRENT`` pointer."""
-    w = df.write.mode("overwrite").option("compression", compression)
+    overwrites only that folder), then add a pointer to it."""
+    w = _whole(df, compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_path}/{version}")
-    _write_pointer(df.sparkSession, f"{table_path}/_CURRENT", version)
+    _point_to(df.sparkSession, table_path, version)
     return version
 
 
+def _whole(df: DataFrame, compression: str) -> DataFrameWriter:
+    """A writer that replaces all of its path, whatever the session's overwrite mode is."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression)
+
+
 def truncate_load(df: DataFrame, table_path: str, version: str, schema: T.StructType,
                   force_recreate: bool = False) -> str:
-    """K3: reload with the declared schema kept; unless ``force_recreate``, the incoming frame
-    must match the existing table's schema (names and types)."""
+    """K3: reload with the declared schema kept. The incoming frame must have exactly the declared
+    columns; unless ``force_recreate``, its types and the existing table's must be the declared
+    ones too (with it, values are cast)."""
     spark = df.sparkSession
-    old = read_published(spark, table_path)
-    if old is not None and not force_recreate and [(f.name, f.dataType) for f in old.schema] != \
-            [(f.name, f.dataType) for f in schema]:
-        raise SchemaMismatch("existing table schema differs from the declared schema")
-    return publish(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]), table_path, version)
+    declared = [(f.name, f.dataType) for f in schema]
+    if sorted(df.columns) != sorted(schema.names):
+        raise SchemaMismatch(f"columns {df.columns} are not the declared {schema.names}")
+    if not force_recreate:
+        if any(df.schema[name].dataType != kind for name, kind in declared):
+            raise SchemaMismatch(f"incoming {df.schema.simpleString()} differs from the declared {schema.simpleString()}")
+        old = read_published(spark, table_path)
+        if old is not None and [(f.name, f.dataType) for f in old.schema] != declared:
+            raise SchemaMismatch("existing table schema differs from the declared schema")
+    return publish(df.select(*[F.col(f"`{n}`").cast(k).alias(n) for n, k in declared]), table_path, version)
 
 
 def append_checked(df: DataFrame, path: str) -> bool:
@@ -87,32 +122,37 @@ def append_checked(df: DataFrame, path: str) -> bool:
 
 def export_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
     """K4: full copy as Parquet (zstd), overwriting."""
-    df.write.mode("overwrite").option("compression", compression).parquet(path)
+    _whole(df, compression).parquet(path)
 
 
 def export_by_bucket(df: DataFrame, path: str, bucket: str, compression: str = "zstd",
                      max_records_per_file: int = 5_000_000) -> None:
-    """K5: one scan, one write partitioned by the year bucket (nulls land in the default
-    partition, so the full copy is the whole folder and a yearly copy is one partition).
-    No shuffle: each task writes its own file per bucket, so a bucket holding a third of the
-    rows is still written by every task in parallel."""
-    (df.write.mode("overwrite").option("compression", compression)
-       .option("maxRecordsPerFile", max_records_per_file).partitionBy(bucket).parquet(path))
+    """K5: one write partitioned by the year bucket (nulls land in the default partition, so the
+    full copy is the whole folder and a yearly copy is one partition); buckets of an earlier export
+    vanish. The rebalance by bucket makes few files for small buckets and lets Spark split a bucket
+    that holds a third of the rows."""
+    _whole(df.hint("rebalance", bucket), compression) \
+        .option("maxRecordsPerFile", max_records_per_file).partitionBy(bucket).parquet(path)
 
 
 def publish_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """K6/K6i: header CSV, empty cell for null, ISO dates/timestamps. Directory output by
-    default; ``single_file`` (one task) only for small publications."""
+    """K6/K6i: header CSV, values verbatim (blanks kept), an empty cell for null and for empty
+    text, ISO dates/timestamps. Directory output by default; ``single_file`` (one task) only for
+    small publications."""
     out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", "")
+    (out.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("dateFormat", "yyyy-MM-dd").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS")
         .csv(path))
 
 
-def write_interval(df: DataFrame, path: str, interval_column: str = "interval") -> None:
-    """K9: rows of one run interval; a re-run overwrites only its own interval partition."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(interval_column).parquet(path))
+def write_interval(df: DataFrame, path: str, label: str, interval_column: str = "interval") -> None:
+    """K9: rows of one run interval; a re-run replaces its own interval partition, also when it
+    has no rows. A row of another interval is an error."""
+    if interval_column in df.columns:
+        other = ~F.col(interval_column).eqNullSafe(F.lit(label))
+        df = df.where(F.when(other, F.raise_error(F.lit(f"row outside interval {label}"))).otherwise(F.lit(True))).drop(interval_column)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{interval_column}={label}")
 
 
 def outbox(df: DataFrame, key: str, payload) -> DataFrame:

@@ -1,7 +1,7 @@
 """Chosen members of zip / tar.gz archives, read as a Spark job over many archives.
 
 ``binaryFile`` gives one row per archive (one archive = one task, contents capped near 2 GB per
-file by Spark); ``mapInPandas`` expands the wanted members into text lines in bounded batches, so
+file by Spark); ``mapInPandas`` expands the wanted members into text records in bounded batches, so
 memory per task is one archive plus one batch. Parsing the lines (``from_csv``) happens back in
 the JVM."""
 
@@ -10,12 +10,13 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.scalar import na_to_null
 from ledgerflow.session import ship_with_tasks
 
 
@@ -38,6 +39,19 @@ def _members(name: str, content: bytes, wanted: set[str] | None) -> Iterator[tup
                     yield m.name, fh
 
 
+def records_of(lines: Iterable[str]) -> Iterator[str]:
+    """CSV records of a member: a line break inside quotes belongs to the record."""
+    held, quotes = [], 0
+    for line in lines:
+        held.append(line)
+        quotes += line.count('"')
+        if quotes % 2 == 0:
+            yield "".join(held).rstrip("\r\n")
+            held, quotes = [], 0
+    if held:
+        yield "".join(held).rstrip("\r\n")
+
+
 def _expand(wanted: set[str] | None, batch_rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -45,8 +59,8 @@ def _expand(wanted: set[str] | None, batch_rows: int):
                 archive = path.rsplit("/", 1)[-1]
                 for member, fh in _members(archive, bytes(content), wanted):
                     buf: list[tuple] = []
-                    for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8", newline="")):
-                        buf.append((archive, member, i, raw.rstrip("\r\n")))
+                    for i, raw in enumerate(records_of(io.TextIOWrapper(fh, encoding="utf-8", newline=""))):
+                        buf.append((archive, member, i, raw))
                         if len(buf) >= batch_rows:
                             yield pd.DataFrame(buf, columns=["archive", "member", "line_no", "line"])
                             buf = []
@@ -63,13 +77,15 @@ def read_archive_lines(spark: SparkSession, path: str, members: Sequence[str] |
     return files.mapInPandas(_expand(wanted, batch_rows), MEMBER_LINES_SCHEMA)
 
 
-def parse_member_csv(lines: DataFrame, member: str, names: Sequence[str], sep: str = ";") -> DataFrame:
-    """S5 applied to one member's lines: ``from_csv`` with an all-string schema, in the JVM.
-    Lines holding only whitespace are skipped; the archive/line columns are kept."""
+def parse_member_csv(lines: DataFrame, member: str, names: Sequence[str], sep: str = ";", na_tokens: bool = True) -> DataFrame:
+    """S5/F13 applied to one member's records: ``from_csv`` with an all-string schema and the same
+    quoting, in the JVM. Records holding only whitespace are skipped; the archive/line columns stay."""
     ddl = ", ".join(f"`{n}` string" for n in names)
+    options = {"sep": sep, "quote": '"', "escape": '"', "emptyValue": "", "multiLine": "true", "mode": "FAILFAST"}
     parsed = (lines.where((F.col("member") == member) & (F.trim(F.col("line")) != ""))
-                   .select("archive", "line_no", F.from_csv(F.col("line"), ddl, {"sep": sep, "mode": "FAILFAST"}).alias("_r")))
-    return parsed.select("archive", "line_no", "_r.*")
+                   .select("archive", "line_no", F.from_csv(F.col("line"), ddl, options).alias("_r")))
+    cells = [(na_to_null(F.col("_r")[n]) if na_tokens else F.col("_r")[n]).alias(n) for n in names]
+    return parsed.select("archive", "line_no", *cells)
 
 
 ship_with_tasks(__name__)

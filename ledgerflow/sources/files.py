@@ -44,19 +44,22 @@ def read_snapshot_csv(spark: SparkSession, path: str, schema: T.StructType | str
 
 
 def read_headless_csv(spark: SparkSession, path: str, names: Sequence[str], sep: str = ";",
-                      na_tokens: bool = True) -> DataFrame:
-    """Headless delimited text, every column a string, pandas NA tokens -> null."""
+                      na_tokens: bool = True, multiline: bool = True) -> DataFrame:
+    """Headless delimited text, every column a string, pandas NA tokens -> null. Quoting as
+    in S4 (doubled quotes, quoted separators and line breaks; ``multiline`` as there)."""
     df = (spark.read.schema(string_schema(names)).option("header", False).option("sep", sep)
+               .option("quote", '"').option("escape", '"').option("multiLine", multiline)
                .option("mode", "FAILFAST").option("emptyValue", "").csv(path))
     if not na_tokens:
         return df
     return df.select(*[na_to_null(F.col(f"`{n}`")).alias(n) for n in names])
 
 
-def read_string_csv(spark: SparkSession, path: str, names: Sequence[str], na_tokens: bool = True) -> DataFrame:
-    """Headed CSV re-read with every column a string (no inference) + NA tokens."""
-    df = (spark.read.schema(string_schema(names)).option("header", True).option("escape", '"')
-               .option("mode", "FAILFAST").csv(path))
+def read_string_csv(spark: SparkSession, path: str, names: Sequence[str], na_tokens: bool = True,
+                    multiline: bool = True) -> DataFrame:
+    """Headed CSV re-read with every column a string (no inference) + NA tokens; quoting as S4."""
+    df = (spark.read.schema(string_schema(names)).option("header", True).option("quote", '"').option("escape", '"')
+               .option("multiLine", multiline).option("mode", "FAILFAST").csv(path))
     if not na_tokens:
         return df
     return df.select(*[na_to_null(F.col(f"`{n}`")).alias(n) for n in names])

@@ -59,7 +59,7 @@ def test_year_bucket_open_ends_and_null(spark):
 
 def test_parse_utc_and_format(spark):
     df = spark.createDataFrame([("2024-01-02T03:04:05.678Z",), ("2024-01-02T05:04:05+02:00",), (None,)], "s string")
-    out = df.select(fx.format_ts(fx.parse_utc("s", "UTC")).alias("t"))
+    out = df.select(fx.format_ts(fx.parse_utc("s")).alias("t"))
     assert [r[0] for r in out.collect()] == ["2024-01-02 03:04:05", "2024-01-02 03:04:05", None]
 
 
@@ -278,3 +278,15 @@ def test_run_timestamp_and_delays_ignore_session_zone(spark):
         assert r.t == "2024-06-03 02:00:00" and r.h == 48.0   # DST change in between: still 48 h
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Paris", "America/New_York"])
+def test_parse_utc_ignores_the_session_zone_and_its_clock_changes(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [("2024-03-31T02:30:00Z",), ("2024-10-27T01:30:00.25Z",), ("2024-03-31 02:30:00",), ("2024-03-31T04:30:00+02:00",), ("2024-03-10T02:30:00Z",), (None,)]
+        df = spark.createDataFrame(rows, "s string").select(fx.parse_utc("s").cast("string").alias("t"))
+        assert [r.t for r in df.collect()] == ["2024-03-31 02:30:00", "2024-10-27 01:30:00.25", "2024-03-31 02:30:00", "2024-03-31 02:30:00", "2024-03-10 02:30:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -87,12 +87,80 @@ def test_publish_switches_version_and_truncate_load_checks_schema(spark, tmp):
 
 
 def test_interval_partition_rerun_overwrites_only_its_partition(spark, tmp):
-    path = f"{tmp}/iv"
-    base = spark.createDataFrame([(1, "20240101-20240102"), (2, "20240102-20240103")], "k int, interval string")
-    writers.write_interval(base, path)
-    writers.write_interval(spark.createDataFrame([(3, "20240102-20240103")], "k int, interval string"), path)
-    got = sorted((r.k, r.interval) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "20240101-20240102"), (3, "20240102-20240103")]
+    path, schema = f"{tmp}/iv", "k int, interval string"
+
+    def run(rows, label):
+        writers.write_interval(spark.createDataFrame(rows, schema), path, label)
+
+    def got():
+        return sorted((r.k, r.interval) for r in spark.read.schema(schema).parquet(path).collect())
+
+    run([(1, "20240101-20240102")], "20240101-20240102")
+    run([(2, "20240102-20240103")], "20240102-20240103")
+    run([(3, "20240102-20240103")], "20240102-20240103")
+    assert got() == [(1, "20240101-20240102"), (3, "20240102-20240103")]
+    run([], "20240102-20240103")  # a re-run without rows clears its partition
+    assert got() == [(1, "20240101-20240102")]
+    with pytest.raises(Exception, match="outside interval"):
+        run([(4, "20240101-20240102")], "20240102-20240103")
+
+
+def test_published_csv_keeps_values(spark, tmp):
+    rows = [(1, "  lead trail  "), (2, ""), (3, None), (4, 'say "hi", twice'), (5, "line\nbreak")]
+    writers.publish_csv(spark.createDataFrame(rows, "k int, v string"), f"{tmp}/csv", single_file=True)
+    text = "".join(open(f"{tmp}/csv/{f}", newline="").read() for f in os.listdir(f"{tmp}/csv") if f.endswith(".csv"))
+    assert sorted(text.split("\n")) == sorted('k,v\n1,  lead trail  \n2,\n3,\n4,"say ""hi"", twice"\n5,"line\nbreak"\n'.split("\n"))
+
+
+def test_re_export_leaves_no_stale_buckets(spark, tmp):
+    df = spark.createDataFrame([(1, 1996), (2, 1997), (3, None)], "k int, b int")
+    writers.export_by_bucket(df, f"{tmp}/x", "b")
+    writers.export_by_bucket(df.withColumn("b", F.lit(1999)), f"{tmp}/x", "b")
+    assert sorted((r.k, r.b) for r in spark.read.parquet(f"{tmp}/x").collect()) == [(1, 1999), (2, 1999), (3, 1999)]
+
+
+def test_pointer_is_never_rewritten_and_old_versions_go(spark, tmp):
+    path, df = f"{tmp}/t", spark.range(1)
+    before = set()
+    for i in range(5):
+        writers.publish(df, path, f"v={i}")
+        files_now = {f for f in os.listdir(f"{path}/_published") if f.startswith("part-")}
+        assert before <= files_now
+        before = files_now
+    assert writers.drop_old_versions(spark, path, keep=2) == ["v=2", "v=1", "v=0"]
+    assert sorted(d for d in os.listdir(path) if d.startswith("v=")) == ["v=3", "v=4"]
+    assert writers.current_version(spark, path) == "v=4"
+    with open(f"{tmp}/plain", "w") as fh:
+        fh.write("no table")
+    with pytest.raises(Exception):  # something is there, but no Parquet: not taken for "no table"
+        writers.append_checked(df, f"{tmp}/plain")
+
+
+def test_truncate_load_checks_the_incoming_frame(spark, tmp):
+    schema = spark.createDataFrame([], "k int, v string").schema
+    with pytest.raises(writers.SchemaMismatch):
+        writers.truncate_load(spark.createDataFrame([("x", "y")], "k string, v string"), f"{tmp}/t", "v=1", schema)
+    with pytest.raises(writers.SchemaMismatch):
+        writers.truncate_load(spark.createDataFrame([(1,)], "k int"), f"{tmp}/t", "v=1", schema)
+
+
+def test_quoted_cells_of_headless_files_headed_files_and_members(spark, tmp):
+    body = '1;"say ""hi""; x";z\n2;"line\nbreak";NA\n3;"";n/a\n'
+    want = [("1", 'say "hi"; x', "z"), ("2", "line\nbreak", None), ("3", None, None)]
+    _write(f"{tmp}/h/a.csv", body)
+    assert sorted(map(tuple, files.read_headless_csv(spark, f"{tmp}/h", ["a", "b", "c"]).collect())) == want
+    _write(f"{tmp}/s/a.csv", 'a,b,c\n1,"say ""hi""; x",z\n2,"line\nbreak",NA\n3,"",n/a\n')
+    assert sorted(map(tuple, files.read_string_csv(spark, f"{tmp}/s", ["a", "b", "c"]).collect())) == want
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w:gz") as tar:
+        info = tarfile.TarInfo("m.csv")
+        info.size = len(body.encode())
+        tar.addfile(info, io.BytesIO(body.encode()))
+    os.makedirs(f"{tmp}/arc")
+    with open(f"{tmp}/arc/one.tar.gz", "wb") as fh:
+        fh.write(buf.getvalue())
+    parsed = archives.parse_member_csv(archives.read_archive_lines(spark, f"{tmp}/arc"), "m.csv", ["a", "b", "c"])
+    assert sorted((r.a, r.b, r.c) for r in parsed.collect()) == want
 
 
 def test_stream_upsert_equals_batch_for_any_split(spark, tmp):

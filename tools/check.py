@@ -26,11 +26,9 @@ def canon(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return f"{v:.6g}"
+        return "NaN" if math.isnan(v) else f"{v:.11g}"  # NaN is not null; sums may differ in the last digits only
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.6g}"
+        return f"{float(v):.11g}"
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
