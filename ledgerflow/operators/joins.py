@@ -1,8 +1,7 @@
 """Joins (J1-J6).
 
-Physical choice is left to Catalyst + AQE: a side is only hinted for broadcast when its size is
-proven (``fits_broadcast`` reads at most ``max_rows + 1`` rows) or fixed by nature (a dimension
-of constant size). Otherwise AQE measures the shuffled side at run time and converts the
+Physical choice is left to Catalyst + AQE: a side is only hinted for broadcast when its bytes are
+measured (``fits_broadcast``). Otherwise AQE measures the shuffled side at run time and converts the
 sort-merge join to a broadcast join when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
 and splits skewed partitions (``skewJoin``).
 """
@@ -17,10 +16,14 @@ from pyspark.sql import functions as F
 from ledgerflow.operators.checks import assert_many_to_one, assert_unique
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast hint: true when ``df`` has at most ``max_rows`` rows.
-    The count stops after ``max_rows + 1`` rows, so the check is cheap for large inputs too."""
-    return df.limit(max_rows + 1).count() <= max_rows
+BROADCAST_BYTES = 32 << 20  # a side is hinted for broadcast up to so many bytes of row text
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Size check before a broadcast hint: whether the rows of ``df``, as JSON text, take at most
+    ``max_bytes``. It reads ``df`` once, in one aggregate; persist ``df`` when it is costly."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return (df.agg(F.sum(size).alias("n")).first()["n"] or 0) <= max_bytes
 
 
 def flag_left_join(df: DataFrame, flagged: DataFrame, key: str, flag: str, value: str = "oui") -> DataFrame:
@@ -30,16 +33,12 @@ def flag_left_join(df: DataFrame, flagged: DataFrame, key: str, flag: str, value
     return df.join(right, key, "left")
 
 
-def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
-                validate: bool = True, broadcast: bool = False) -> DataFrame:
+def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, validate: bool = True) -> DataFrame:
     """Left look-up on differently named keys, many-to-one enforced (Q3 first). The right
     key is not kept (the frame keeps the left key)."""
     if validate:
         assert_many_to_one(lookup, right_key)
-    right = lookup.withColumnRenamed(right_key, "_lk")
-    if broadcast:
-        right = F.broadcast(right)
-    return df.join(right, F.col(left_key) == F.col("_lk"), "left").drop("_lk")
+    return df.join(lookup.withColumnRenamed(right_key, "_lk"), F.col(left_key) == F.col("_lk"), "left").drop("_lk")
 
 
 def lookup_array(df: DataFrame, arrays: DataFrame, key: str, name: str) -> DataFrame:
@@ -65,17 +64,19 @@ def replace_children(target: DataFrame, new_children: DataFrame, key: str) -> Da
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, update_columns: Sequence[str],
-           check_source: bool = True, small_source_rows: int | None = None) -> DataFrame:
+           check_source: bool = True, small_source_bytes: int | None = None) -> DataFrame:
     """``INSERT .. ON CONFLICT (key) DO UPDATE SET <update_columns> = EXCLUDED.<col>``.
 
     * columns in ``update_columns`` take the source value on conflict, even a null one;
       the key and every other column keep the target value;
     * a source key occurring twice is an error (checked first);
-    * null keys never conflict: such source rows are inserted.
+    * null keys never conflict: rows without a key, of either side, are taken as they are and stay
+      out of the join (they would all meet in one task).
 
-    When ``small_source_rows`` is given and the source is proven to have at most that many rows,
-    the large target is never shuffled: ``target LEFT JOIN broadcast(source)`` plus the source
-    rows whose key the target lacks. Otherwise one full outer (sort-merge) join.
+    When ``small_source_bytes`` is given and the source is measured to be no larger, the large target
+    is never shuffled: ``target LEFT JOIN broadcast(source)`` plus the source rows whose key the
+    target lacks. Otherwise one full outer (sort-merge) join on the keys, which are unique in the
+    source and so at most as skewed as the target's.
     """
     columns = target.columns
     missing = [c for c in columns if c not in source.columns]
@@ -85,15 +86,17 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_columns: Seque
     if check_source:
         assert_unique(source, key, "source key")
     src = source.select(*columns)
+    no_key = target.where(F.col(key).isNull()).unionByName(src.where(F.col(key).isNull()))
+    src, target = src.where(F.col(key).isNotNull()), target.where(F.col(key).isNotNull())
 
-    if small_source_rows is not None and fits_broadcast(src, small_source_rows):
+    if small_source_bytes is not None and fits_broadcast(src, small_source_bytes):
         s = F.broadcast(src.select(*[F.col(c).alias(f"_s_{c}") for c in columns]).withColumn("_s", F.lit(True)))
         updated = target.join(s, F.col(key) == F.col(f"_s_{key}"), "left").select(
             *[(F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)) if c in update else F.col(c)).alias(c)
               for c in columns])
         hit_keys = target.select(key).join(F.broadcast(src.select(key)), key, "left_semi").distinct()
         inserted = src.join(F.broadcast(hit_keys), key, "left_anti")
-        return updated.unionByName(inserted)
+        return updated.unionByName(inserted).unionByName(no_key)
 
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in columns]).withColumn("_t", F.lit(True))
     s = src.select(*[F.col(c).alias(f"_s_{c}") for c in columns]).withColumn("_s", F.lit(True))
@@ -104,4 +107,15 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_columns: Seque
             return F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}"))
         return F.when(F.col("_t").isNotNull(), F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}"))
 
-    return joined.select(*[pick(c).alias(c) for c in columns])
+    return joined.select(*[pick(c).alias(c) for c in columns]).unionByName(no_key)
+
+
+def overlay_rows(report: DataFrame, reload: DataFrame, position: str) -> DataFrame:
+    """K7: rows of a reload, numbered without gaps, replace exactly the report's rows at the same
+    positions; rows before and after stay. A range filter and a union: the report is not shuffled."""
+    at = reload.agg(F.min(position).alias("lo"), F.max(position).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if not at["n"]:
+        return report
+    if at["hi"] - at["lo"] + 1 != at["n"]:
+        raise ValueError(f"reload positions {at['lo']}..{at['hi']} hold {at['n']} rows")
+    return report.where(~F.col(position).between(at["lo"], at["hi"])).unionByName(reload.select(*report.columns))

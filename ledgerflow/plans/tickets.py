@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.scalar import (blank_if_null, delay_days, delay_hours, fixed_decimal_text, format_ts,
                                          full_name, iso_week, left_chars, parse_utc, year_week)
 from ledgerflow.operators.filters import at_least, closed_interval
-from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_left, upsert
+from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_left, overlay_rows
 from ledgerflow.operators.nested import join_text
 from ledgerflow.operators.ordinal import load_point, row_index
 from ledgerflow.plans.catalog import register
@@ -220,7 +220,7 @@ def positional_load_q(spark: SparkSession, sf: str) -> DataFrame:
     changed = o.where(F.year("o_orderdate") == 1997).select("o_orderkey", "o_orderdate",
                                                              F.lower("o_orderstatus").alias("statut"))
     reload = row_index(changed, ["o_orderdate", "o_orderkey"], start=first).select("row_idx", "o_orderkey", "statut")
-    return upsert(report, reload, "row_idx", ["o_orderkey", "statut"])
+    return overlay_rows(report, reload, "row_idx")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -274,5 +274,5 @@ def report_reload_q(spark: SparkSession, sf: str) -> DataFrame:
     land_ticket_pages(wanted, f"{root}/pages")
     pages = read_array_pages(spark, f"{root}/pages", TICKET_SCHEMA)
     reload = row_index(pages, ["ts", "number"], start=point["next_row_idx"]).select(*cols)
-    publish(upsert(report, reload, "row_idx", ["number", "created_at", "day"]), f"{root}/report", "v=2")  # K7
+    publish(overlay_rows(report, reload, "row_idx"), f"{root}/report", "v=2")  # K7
     return read_published(spark, f"{root}/report")

@@ -3,11 +3,12 @@
 The streaming checkpoint replaces the reference's date watermark: each landed file is taken
 exactly once; ``trigger(availableNow=True)`` processes what has landed and stops (a scheduled
 batch run), a processing-time trigger keeps it running. Every micro-batch writes a new table
-version named after the batch id, so a replayed batch rewrites the same folder.
+version named after the stream and the batch, so a replayed batch rewrites the same folder.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -17,39 +18,58 @@ from pyspark.sql import types as T
 
 from ledgerflow.functions.scalar import as_text, log_level, log_tag, rstrip_ws
 from ledgerflow.operators.checks import assert_unique
-from ledgerflow.operators.joins import upsert
-from ledgerflow.sinks.writers import current_version, publish
+from ledgerflow.operators.joins import BROADCAST_BYTES, upsert
+from ledgerflow.sinks.writers import current_version, drop_old_versions, publish
 
 
-def latest_per_key(df: DataFrame, key: str, sequence: str) -> DataFrame:
-    """Across landings the later one wins; a key repeated inside one landing is an error."""
-    assert_unique(df, [key, sequence], "key within one landing")
-    cols = [c for c in df.columns if c != key]
-    latest = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(sequence)).alias("_r"))
-    return latest.select(key, *[F.col("_r")[c].alias(c) for c in cols])
+def merge_landings(df: DataFrame, key: str, sequence: str, update_columns: Sequence[str]) -> DataFrame:
+    """Several landings as one change per key, with what running them one by one would leave: update
+    columns take the value of the last landing, any other column that of the first (a later landing
+    finds the row there). A key repeated inside one landing is an error. Rows without a key never
+    conflict, so all of them stay."""
+    keyed = df.where(F.col(key).isNotNull())
+    assert_unique(keyed, [key, sequence], "key within one landing")
+    last = [c for c in df.columns if c in set(update_columns) - {key}]
+    first = [c for c in df.columns if c not in last and c != key]
+    picks = [f(F.struct(*[F.col(c) for c in cols]), F.col(sequence)).alias(name)
+             for f, cols, name in ((F.max_by, last, "_last"), (F.min_by, first, "_first")) if cols]
+    merged = keyed.groupBy(key).agg(*picks)
+    out = {key: F.col(key)} | {c: F.col("_last")[c] for c in last} | {c: F.col("_first")[c] for c in first}
+    return merged.select(*[out[c].alias(c) for c in df.columns]).unionByName(df.where(F.col(key).isNull()))
 
 
-def upsert_batch(table_path: str, key: str, update_columns: Sequence[str], sequence: str,
-                 small_source_rows: int | None = 1_000_000) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: J6 upsert of one micro-batch into the published table."""
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when its checkpoint was made: another checkpoint, or one made
+    anew at the same path, is another stream whose batches start at 0 again."""
+    line = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return json.loads(line)["id"]
+
+
+def upsert_batch(table_path: str, key: str, update_columns: Sequence[str], sequence: str, checkpoint: str,
+                 small_source_bytes: int | None = BROADCAST_BYTES, keep_versions: int = 3) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: J6 upsert of one micro-batch into the published table. The version is
+    named after the stream and the batch, so only a true replay is skipped."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = f"v={batch_id:010d}"
+        version = f"v={stream_id(spark, checkpoint)}-{batch_id:010d}"
         current = current_version(spark, table_path)
         if current == version:
             return  # replay of a batch already published: the upsert is idempotent, nothing to do
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read the landed files once per batch
+        source = None
         try:
             if batch.isEmpty():
                 return
             target = spark.read.parquet(f"{table_path}/{current}")
-            source = latest_per_key(batch, key, sequence).select(*target.columns)
-            # latest_per_key already guarantees one row per key
-            merged = upsert(target, source, key, update_columns, check_source=False,
-                            small_source_rows=small_source_rows)
+            source = merge_landings(batch, key, sequence, update_columns).select(*target.columns).persist(StorageLevel.MEMORY_AND_DISK)
+            # merge_landings already guarantees one row per key
+            merged = upsert(target, source, key, update_columns, check_source=False, small_source_bytes=small_source_bytes)
             publish(merged, table_path, version)
+            drop_old_versions(spark, table_path, keep_versions)
         finally:
             batch.unpersist()
+            if source is not None:
+                source.unpersist()
     return run
 
 
@@ -60,7 +80,7 @@ def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType |
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (reader.load(landing).writeStream.foreachBatch(upsert_batch(table_path, key, update_columns, sequence))
+    q = (reader.load(landing).writeStream.foreachBatch(upsert_batch(table_path, key, update_columns, sequence, checkpoint))
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:

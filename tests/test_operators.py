@@ -135,7 +135,7 @@ def _source(spark):
 
 @pytest.mark.parametrize("small", [None, 100])
 def test_upsert_semantics(spark, small):
-    out = joins.upsert(_target(spark), _source(spark), "k", ["name", "v"], small_source_rows=small)
+    out = joins.upsert(_target(spark), _source(spark), "k", ["name", "v"], small_source_bytes=small)
     got = sorted(rows(out), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     # 2: name and v (even null) from the source, naf kept; 3 inserted; null keys never conflict
     assert got == [(1, "a", "naf1", 10.0), (2, "B", "naf2", None), (3, "c", "naf3", 30.0),
@@ -144,8 +144,8 @@ def test_upsert_semantics(spark, small):
 
 @pytest.mark.parametrize("small", [None, 100])
 def test_upsert_idempotent_and_rejects_duplicate_source_keys(spark, small):
-    once = joins.upsert(_target(spark), _source(spark).where("k is not null"), "k", ["name", "v"], small_source_rows=small)
-    twice = joins.upsert(once, _source(spark).where("k is not null"), "k", ["name", "v"], small_source_rows=small)
+    once = joins.upsert(_target(spark), _source(spark).where("k is not null"), "k", ["name", "v"], small_source_bytes=small)
+    twice = joins.upsert(once, _source(spark).where("k is not null"), "k", ["name", "v"], small_source_bytes=small)
     assert sorted(rows(once), key=str) == sorted(rows(twice), key=str)
     dup = _source(spark).unionByName(_source(spark).where("k = 3"))
     with pytest.raises(DataCheckError):

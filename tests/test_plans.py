@@ -43,6 +43,22 @@ def test_python_only_in_archive_and_enrich(spark):
 def test_small_source_upsert_does_not_shuffle_target(spark):
     target = spark.read.parquet(f"{SF}/customer.parquet")
     source = target.where("c_custkey < 10")
-    out = joins.upsert(target, source, "c_custkey", ["c_name"], small_source_rows=1000)
+    out = joins.upsert(target, source, "c_custkey", ["c_name"], small_source_bytes=1 << 20)
     p = plan(out)
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_overlay_never_shuffles_the_report(spark):
+    report = spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey", "c_name")
+    out = joins.overlay_rows(report, report.where("c_custkey between 10 and 20"), "c_custkey")
+    assert "Exchange" not in plan(out) and out.count() == report.count()
+
+
+def test_rows_without_a_key_stay_out_of_the_join(spark):
+    target = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k int, v string")
+    source = spark.createDataFrame([(None, "d"), (1, "C"), (2, "e")], "k int, v string")
+    for small in (None, 1 << 20):
+        out = joins.upsert(target, source, "k", ["v"], small_source_bytes=small)
+        assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, [(None, "a"), (None, "b"), (None, "d"), (1, "C"), (2, "e")]))
+    p = plan(joins.upsert(target, source, "k", ["v"]))
+    assert "isnotnull(k" in p

@@ -184,6 +184,32 @@ def test_stream_upsert_equals_batch_for_any_split(spark, tmp):
     assert sorted(tuple(r) for r in writers.read_published(spark, table2).collect()) == streamed
 
 
+def test_stream_keeps_the_first_value_of_columns_outside_the_update_list(spark, tmp):
+    cols = "k int, name string, born int, landed int"
+    target = spark.createDataFrame([(1, "a", 10)], "k int, name string, born int")
+    drops = [[(2, "b", 20, 1), (1, "A", 11, 1)], [(2, "B", 21, 2), (3, "c", 30, 2)], [(3, "C", 31, 3), (None, "x", 0, 3)]]
+    batch = target
+    for i, d in enumerate(drops):
+        df = spark.createDataFrame(d, cols)
+        df.write.mode("append").parquet(f"{tmp}/landing")
+        batch = upsert(batch, df.drop("landed"), "k", ["name"])
+    want = sorted((tuple(r) for r in batch.collect()), key=str)
+    for name, files_at_once in (("one", None), ("many", 1)):
+        writers.publish(target, f"{tmp}/{name}", "v=initial")
+        incremental.run_upsert_stream(spark, f"{tmp}/landing", cols, f"{tmp}/{name}", "k", ["name"], "landed", f"{tmp}/ck-{name}",
+                                      max_files_per_trigger=None)
+        assert sorted((tuple(r) for r in writers.read_published(spark, f"{tmp}/{name}").collect()), key=str) == want
+
+
+def test_a_second_checkpoint_is_no_replay(spark, tmp):
+    cols = "k int, name string, landed int"
+    writers.publish(spark.createDataFrame([(1, "a")], "k int, name string"), f"{tmp}/t", "v=initial")
+    for i in (1, 2):  # both streams start at batch 0
+        spark.createDataFrame([(i + 1, f"new{i}", i)], cols).write.parquet(f"{tmp}/land{i}")
+        incremental.run_upsert_stream(spark, f"{tmp}/land{i}", cols, f"{tmp}/t", "k", ["name"], "landed", f"{tmp}/ck{i}")
+    assert sorted(tuple(r) for r in writers.read_published(spark, f"{tmp}/t").collect()) == [(1, "a"), (2, "new1"), (3, "new2")]
+
+
 def test_log_stream_equals_batch(spark, tmp):
     lines = ["a @level@[ERROR] x  ", "   ", "plain", "b @LEVEL@[Debug]"]
     _write(f"{tmp}/land/part-0.txt", "\n".join(lines) + "\n")
