@@ -1,33 +1,21 @@
-"""Aggregates: load watermark (A1), distinct values (A2), first/last by order (A4), summary
-statistics with exact quartiles (A5).
-
-Exact quartiles (pandas ``describe`` interpolates linearly between order statistics) are found
-without gathering a column into one task: the column is range-sorted and numbered by
-``row_index`` and only the rows at the needed positions are kept."""
+"""Aggregates: first/last by order (A4), summary statistics with exact quartiles (A5; pandas
+``describe`` interpolates linearly between order statistics). No column is gathered in one task."""
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.ordinal import row_index
+from ledgerflow.operators.ordinal import ranges_of
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
-def watermark(df: DataFrame, column: str, chars: int = 10) -> Column:
-    """A1 as an aggregate expression: ``max(column)`` as text cut to ``chars`` characters."""
-    return F.substring(F.max(F.col(column)).cast("string"), 1, chars)
-
-
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    """A2: distinct values of one column (partial distinct map-side, then one shuffle)."""
-    return df.select(column).distinct()
-
-
 def first_last(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
     """A4: min, max, and the value on the first and the last row in ``order`` (one pass)."""
     key = F.struct(*[F.col(c) for c in order])
@@ -35,22 +23,47 @@ def first_last(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
                   F.min_by(value, key).alias("first"), F.max_by(value, key).alias("last"))
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], n: int) -> dict[float, float | None]:
-    """Linear-interpolated quantiles of the non-null values (``n`` of them)."""
-    if n == 0:
-        return {p: None for p in probs}
-    wanted: set[int] = set()
-    for p in probs:
-        h = p * (n - 1)
-        wanted.update({math.floor(h), math.ceil(h)})
-    values = df.select(column).where(F.col(column).isNotNull())
-    numbered = row_index(values, [column], start=0, name="_i")
-    got = {r["_i"]: r[column] for r in numbered.where(F.col("_i").isin(sorted(wanted))).collect()}
-    out = {}
-    for p in probs:
-        h = p * (n - 1)
-        lo, hi = math.floor(h), math.ceil(h)
-        out[p] = got[lo] + (h - lo) * (got[hi] - got[lo])
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float | None]]:
+    """Linear-interpolated quantiles of the non-null values of numeric columns, all in one go.
+
+    Equal values are first counted (combined before the shuffle, so a value that a third of the rows
+    have is one row); the distinct values are put into ranges of their order, ranges are summed, and
+    only the few ranges that hold a wanted position are looked into, each by itself."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]))
+    counted = df.select(cells.alias("r")).select("r.*").where(F.col("value").isNotNull()) \
+                .groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranges = ranges_of(counted, ["name", "value"])
+        ranged = counted.withColumn("_range", ranges.number)
+        sums = ranged.groupBy("name", "_range").agg(F.sum("n").alias("n")).orderBy("name", "_range").collect()
+        total, wanted = Counter(), {}
+        for r in sums:
+            total[r["name"]] += r["n"]
+        need = {c: sorted({f(p * (total[c] - 1)) for p in probs for f in (math.floor, math.ceil)}) for c in columns if total[c]}
+        seen = Counter()
+        for r in sums:
+            c, lo = r["name"], seen[r["name"]]
+            seen[c] += r["n"]
+            if any(lo <= i < seen[c] for i in need[c]):
+                wanted[c, r["_range"]] = lo
+        if not wanted:
+            return {c: {p: None for p in probs} for c in columns}
+        spark = df.sparkSession
+        look = spark.createDataFrame([(c, k, lo) for (c, k), lo in wanted.items()], "name string, _range int, lo bigint")
+        upto = Window.partitionBy("name", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        inside = ranged.join(F.broadcast(look), ["name", "_range"]).withColumn("hi", F.col("lo") + F.sum("n").over(upto))
+        at = spark.createDataFrame([(c, i) for c, own in need.items() for i in own], "name string, i bigint")
+        hits = inside.join(F.broadcast(at), "name").where((F.col("i") < F.col("hi")) & (F.col("i") >= F.col("hi") - F.col("n")))
+        got = {(r["name"], r["i"]): r["value"] for r in hits.select("name", "i", "value").collect()}
+    finally:
+        counted.unpersist()
+    out: dict[str, dict[float, float | None]] = {}
+    for c in columns:
+        out[c] = {}
+        for p in probs:
+            h = p * (total[c] - 1)
+            lo, hi = math.floor(h), math.ceil(h)
+            out[c][p] = None if not total[c] else got[c, lo] + (h - lo) * (got[c, hi] - got[c, lo])
     return out
 
 
@@ -61,10 +74,11 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFram
     moments = df.agg(*[e for c in columns for e in (
         F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
         F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"))]).first()
+    quantiles = exact_quantiles(df, columns, DESCRIBE_PROBS)
     rows = []
     for c in columns:
         n = moments[f"{c}__count"]
-        q = exact_quantiles(df, c, DESCRIBE_PROBS, n)
+        q = quantiles[c]
         stats = [("count", float(n)), ("mean", moments[f"{c}__mean"]), ("std", moments[f"{c}__std"]),
                  ("min", moments[f"{c}__min"]), ("25%", q[0.25]), ("50%", q[0.5]), ("75%", q[0.75]),
                  ("max", moments[f"{c}__max"])]

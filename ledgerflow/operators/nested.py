@@ -1,9 +1,9 @@
 """Nested data.
 
-Flattening walks the *schema* on the driver (no data) and emits one ``select``. Nesting rows into
-lists (``nest_ordered``) is bounded: each list holds at most ``max_items`` consecutive items of
-its group, numbered by ``grouped_row_index`` (which splits a hot group over several tasks), so no
-group is ever collected whole into one row or one task.
+Flattening walks the *schema* on the driver (no data) and emits one ``select``. Ordered lists are
+made in chunks of consecutive items, numbered by ``grouped_row_index`` (which splits a hot group
+over several tasks); what a chunk becomes (CSV lines, JSON) is made for each chunk, and
+``one_document`` puts a group's chunks together at the end.
 """
 
 from __future__ import annotations
@@ -51,21 +51,33 @@ def explode_children(df: DataFrame, parent_key: str, children: str,
     return out
 
 
-def nest_ordered(df: DataFrame, group: Sequence[str], order: Sequence[str], items: Sequence[str | Column],
-                 name: str = "items", max_items: int = 1000, part: str = "part") -> DataFrame:
-    """Rows -> ``(group..., part, name ARRAY<STRUCT<items>>)`` in ``order``; part ``k`` holds the
-    items ``k*max_items+1 .. (k+1)*max_items`` of its group. Rows tied in ``order`` are placed
-    in one fixed (materialized) order; give a total order when the list order matters."""
+def ordered_chunks(df: DataFrame, group: Sequence[str], order: Sequence[str], items: Sequence[str | Column],
+                   name: str = "items", chunk_items: int = 1000) -> DataFrame:
+    """Rows -> ``(group..., chunk, name ARRAY<STRUCT<items>>)``: each group's items in ``order``
+    (null order values last), in chunks of ``chunk_items``, so that a group of any size is spread over
+    many rows. Chunks of a group in the order of ``chunk`` are the whole list. Rows tied in ``order``
+    are placed by their items."""
     item_cols = [F.col(c) if isinstance(c, str) else c for c in items]
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    # carry only what the lists need through the numbering (and its checkpoint)
-    slim = df.select(*[F.col(g) for g in group], *[c.alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                     F.struct(*item_cols).alias("_item"))
-    numbered = grouped_row_index(slim, group, [f"_o{i}" for i in range(len(order_cols))], start=0, name="_rn")
-    numbered = numbered.withColumn(part, F.floor(F.col("_rn") / F.lit(max_items)).cast("bigint"))
-    agg = numbered.groupBy(*group, part).agg(F.collect_list(F.struct(F.col("_rn"), F.col("_item"))).alias("_l"))
-    ordered = F.array_sort(F.col("_l"))
-    return agg.select(*group, part, F.transform(ordered, lambda x: x["_item"]).alias(name))
+    slim = df.select(*[F.col(g) for g in group], F.struct(*item_cols).alias("_item"),
+                     *[e for i, c in enumerate(order_cols) for e in (c.isNull().alias(f"_null{i}"), c.alias(f"_o{i}"))],
+                     F.to_json(F.struct(*item_cols)).alias("_tie"))
+    keys = [k for i in range(len(order_cols)) for k in (f"_null{i}", f"_o{i}")]
+    numbered = grouped_row_index(slim, group, [*keys, "_tie"], start=0, name="_rn")
+    numbered = numbered.withColumn("chunk", F.floor(F.col("_rn") / F.lit(chunk_items)).cast("bigint"))
+    agg = numbered.groupBy(*group, "chunk").agg(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col("_item")))).alias("_l"))
+    return agg.select(*group, "chunk", F.transform("_l", lambda x: x["_item"]).alias(name))
+
+
+def one_document(chunks: DataFrame, group: Sequence[str], text: Column, count: Column, head: str = "", tail: str = "",
+                 sep: str = "") -> DataFrame:
+    """``(group..., n_items, document)``: the texts of a group's chunks, in order, as one document.
+    The document itself is one value (a message, a file), so it must fit a row; all that makes it is
+    done chunk by chunk."""
+    parts = chunks.select(*group, "chunk", text.alias("_text"), count.cast("bigint").alias("_n"))
+    whole = parts.groupBy(*group).agg(F.sum("_n").alias("n_items"), F.array_sort(F.collect_list(F.struct("chunk", "_text"))).alias("_l"))
+    body = F.array_join(F.transform("_l", lambda x: x["_text"]), sep)
+    return whole.select(*group, "n_items", F.concat(F.lit(head), body, F.lit(tail)).alias("document"))
 
 
 def as_objects(arr: str | Column, field: str) -> Column:
@@ -85,14 +97,13 @@ def list_size(arr: str | Column) -> Column:
     return F.when(a.isNull(), F.raise_error(F.lit("list is null"))).otherwise(F.size(a))
 
 
-def csv_document(arr: str | Column, header: Sequence[str], fields: Sequence[str]) -> Column:
-    """N6 body: header line, then one CSV line per list item in list order, trailing newline."""
+def csv_lines(arr: str | Column, fields: Sequence[str]) -> Column:
+    """One CSV line, with its line break, per list item in list order."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    head = ",".join(header)
-    lines = F.transform(a, lambda x: F.concat_ws(",", *[csv_field(x[f]) for f in fields]))
-    return F.concat(F.lit(head + "\n"), F.array_join(lines, "\n"), F.lit("\n"))
+    lines = F.transform(a, lambda x: F.concat(F.concat_ws(",", *[csv_field(x[f]) for f in fields]), F.lit("\n")))
+    return F.array_join(lines, "")
 
 
-def csv_base64(arr: str | Column, header: Sequence[str], fields: Sequence[str]) -> Column:
-    """N6 + F16: the CSV document of the list, UTF-8, base64 on one line."""
-    return base64_text(csv_document(arr, header, fields))
+def csv_base64(document: str | Column) -> Column:
+    """N6 + F16: a CSV document, UTF-8, base64 on one line."""
+    return base64_text(F.col(document) if isinstance(document, str) else document)

@@ -1,66 +1,139 @@
 """Ordinal operators (W1, W2): contiguous row numbers and the reload point.
 
-``row_index`` never funnels the data through one task: the rows are range-partitioned on the
-(unique) order, each partition numbers its rows locally (``monotonically_increasing_id`` holds
-the partition id in its upper bits and the position in the lower 33 bits), and per-partition
-counts (one row per partition: a proven bound) are turned into offsets and broadcast back.
-The numbered rows are checkpointed once so that counts and rows agree (see ``_ranged``).
-"""
+Rows are numbered without ever standing in one task and without being written in between. A sample
+of the order columns gives range bounds, which become literals of the plan: the range a row belongs
+to is then a plain expression of the row, the same in every evaluation. So the rows of each range
+can be counted by one cheap aggregate and numbered by a sort within the range, in separate passes.
+
+``MAX_RANGES`` bounds the literals; a range is sorted externally by Spark, whatever its size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerflow.session import checkpoint_root, shuffle_partitions
+from ledgerflow.session import shuffle_partitions
 
-_LOW_BITS = (1 << 33) - 1
+MAX_RANGES = 1024
+SAMPLES_PER_RANGE = 40   # expected rows of the bounds' sample for each range
+_HASHES = 1 << 30
 
 
-def _ranged(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
-    """Range-partitioned, locally sorted and numbered rows, materialized once.
+@dataclass(frozen=True)
+class Ranges:
+    """``bounds`` in ascending order: each a list of literals, one for each order column."""
+    columns: tuple[str, ...]
+    bounds: list[list[Column | None]]
+    values: list[tuple]
 
-    Range bounds come from a sample whose seed depends on the RDD id, so two evaluations of the
-    same plan may cut the ranges differently; the counts and the rows must therefore come from
-    one materialization. A reliable checkpoint (shared checkpoint folder) gives that and also
-    survives the loss of executors."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
-    return ranged.checkpoint(eager=True)
+    @property
+    def number(self) -> Column:
+        """The range of a row: how many bounds are not above it (a decision tree of literals)."""
+        def below(bound: list[Column | None]) -> Column:
+            out = F.lit(False)
+            for name, b in reversed(list(zip(self.columns, bound, strict=True))):
+                c = F.col(f"`{name}`")
+                if b is None:  # nulls come first: nothing is below one
+                    out = c.isNull() & out
+                else:
+                    out = c.isNull() | (c < b) | ((c == b) & out)
+            return out
+
+        def tree(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(below(self.bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+        return tree(0, len(self.bounds))
+
+
+def ranges_of(df: DataFrame, columns: Sequence[str], num_ranges: int | None = None) -> Ranges:
+    """Range bounds of ``df`` in ascending order of ``columns`` (nulls first), from the rows with the
+    lowest hashes of those columns: about ``SAMPLES_PER_RANGE`` rows for each range come to the
+    driver, as text, and only so many literals go back."""
+    n = min(num_ranges or shuffle_partitions(df.sparkSession), MAX_RANGES)
+    total = df.count()
+    if n < 2 or total < 2:
+        return Ranges(tuple(columns), [], [])
+    share = min(1.0, SAMPLES_PER_RANGE * n / total)
+    keys = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(columns)])
+    kinds = [keys.schema[i].dataType for i in range(len(columns))]
+    picked = keys.where(F.pmod(F.xxhash64(*keys.columns), F.lit(_HASHES)) <= int(share * _HASHES))
+    # as text and back, so that the order is that of the literals
+    text = picked.select(*[F.col(c).cast("string").alias(c) for c in keys.columns]).distinct()
+    back = [F.col(c).cast(k) for c, k in zip(keys.columns, kinds, strict=True)]
+    rows = [tuple(r) for r in text.orderBy(*back).collect()]
+    cuts = list(dict.fromkeys(rows[len(rows) * i // n] for i in range(1, n))) if rows else []
+
+    def literal(value: str | None, kind: T.DataType) -> Column | None:
+        return None if value is None else F.lit(value).cast(kind)
+
+    return Ranges(tuple(columns), [[literal(v, k) for v, k in zip(row, kinds, strict=True)] for row in cuts], cuts)
+
+
+def _named(df: DataFrame, order: Sequence[str | Column]) -> tuple[DataFrame, list[str], list[str]]:
+    """Order expressions as columns: the frame, their names, and those to drop afterwards."""
+    names, extra = [], []
+    for i, c in enumerate(order):
+        if isinstance(c, str):
+            names.append(c)
+        else:
+            df = df.withColumn(f"_order{i}", c)
+            names.append(f"_order{i}")
+            extra.append(f"_order{i}")
+    return df, names, extra
 
 
 def row_index(df: DataFrame, order: Sequence[str | Column], start: int = 1, name: str = "row_idx",
               num_partitions: int | None = None) -> DataFrame:
-    """Numbers ``start .. start+n-1`` in ``order``; ``order`` must be a total order (end it
-    with a unique key) so that a retried task numbers the same rows the same way."""
-    ranged = _ranged(df, order, num_partitions)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = ranged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(name, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint")) \
-              .drop("_mid", "_pid", "_pos", "_off")
+    """Numbers ``start .. start+n-1`` in ascending ``order`` (nulls first); ``order`` must be a
+    total order (end it with a unique key) so that a retried task numbers the same rows alike."""
+    df, names, extra = _named(df, order)
+    ranges = ranges_of(df, names, num_partitions)
+    counts = {r["_range"]: r["n"] for r in df.groupBy(ranges.number.alias("_range")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, at = [], start
+    for k in range(len(ranges.bounds) + 1):
+        offsets.append(at)
+        at += counts.get(k, 0)
+    numbered = (df.withColumn("_range", ranges.number)
+                  .repartitionById(len(offsets), F.col("_range")).sortWithinPartitions(*names)
+                  .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    first = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_range") + 1)
+    return numbered.withColumn(name, (first + F.col("_pos")).cast("bigint")).drop("_range", "_pos", *extra)
 
 
 def grouped_row_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], start: int = 1,
                       name: str = "row_idx", num_partitions: int | None = None) -> DataFrame:
-    """Row numbers restarting at ``start`` in every group, without a per-group task: a hot group
-    is split over several range partitions; per (partition, group) counts give the offsets."""
-    ranged = _ranged(df, [*group, *order], num_partitions)
-    stats = ranged.groupBy("_pid", *group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select("_pid", *group, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = ranged.join(stats, ["_pid", *group])
-    return out.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(start)).cast("bigint")) \
-              .drop("_mid", "_pid", "_pos", "_off", "_first")
+    """Row numbers restarting at ``start`` in every group, without a task per group: a hot group is
+    split over several ranges. Only a group that a range begins in the middle of needs an offset, so
+    there are fewer of those than ranges. One shuffle."""
+    df, names, extra = _named(df, order)
+    ranges = ranges_of(df, [*group, *names], num_partitions)
+    where = Window.partitionBy("_range", *group).orderBy(*names)
+    numbered = df.withColumn("_range", ranges.number).withColumn(name, F.row_number().over(where).cast("bigint") + (start - 1))
+    if not ranges.bounds:
+        return numbered.drop("_range", *extra)
+    spark = df.sparkSession
+    schema = T.StructType([T.StructField(f"g{i}", T.StringType()) for i in range(len(group))])
+    cut_groups = spark.createDataFrame(list(dict.fromkeys(v[:len(group)] for v in ranges.values)), schema)
+    cut_groups = cut_groups.select(*[F.col(f"g{i}").cast(df.schema[g].dataType).alias(f"g{i}") for i, g in enumerate(group)])
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"g{i}"))
+    # at most MAX_RANGES groups, each in at most MAX_RANGES ranges and all in fewer than 2 * MAX_RANGES
+    inside = df.join(F.broadcast(cut_groups), same, "left_semi")
+    rows = inside.groupBy(*group, ranges.number.alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.select(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col("_range").alias("_in"),
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")).where("_off > 0")
+    out = numbered.join(F.broadcast(offsets), same & (F.col("_range") == F.col("_in")), "left")
+    out = out.withColumn(name, (F.col(name) + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint"))
+    return out.drop("_range", "_in", "_off", *[f"g{i}" for i in range(len(group))], *extra)
 
 
 def load_point(report: DataFrame, position: str, day: str, number: str, start_day: str,

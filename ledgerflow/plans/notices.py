@@ -3,78 +3,104 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalar import left_chars
-from ledgerflow.operators.nested import as_objects, csv_base64, join_text, list_size, nest_ordered
+from ledgerflow.operators.nested import as_objects, csv_base64, csv_lines, list_size, one_document, ordered_chunks
 from ledgerflow.plans.catalog import register
+from ledgerflow.sinks.writers import outbox
 from ledgerflow.sources.files import parse_json_column
 from ledgerflow.sources.tables import read_table
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values that must equal the reference's output: the attachment's CSV header, in order.
 ATTACHMENT_HEADER = ["Numéro du bordereau", "Type de bordereau", "Quantité en tonne", "Date de réception"]
+ATTACHMENT_NAME = "bordereaux.csv"
 # ---------------------------------------------------------------------------------------------
-TEMPLATE_ID = 1          # message template of the notice (a job parameter)
-MAX_ITEMS = 1000         # items per payload part: a company with more gets several parts
+TEMPLATE_ID = 1                                                       # message template (a job parameter)
+REPLY_TO = {"email": "reply@example.org", "name": "Service"}          # a job parameter
 
 
-def notice_payload(to, company_name, siret, n_items):
+def notice_payload(to: Column, company_name: Column, siret: Column, n_items: Column, attachment: Column,
+                   template_id: int = TEMPLATE_ID, reply_to: dict[str, str] = REPLY_TO) -> Column:
+    """One message: recipients, template, reply address, parameters and the attached file."""
     return F.struct(
         to.alias("to"),
-        F.lit(TEMPLATE_ID).alias("templateId"),
+        F.lit(template_id).alias("templateId"),
+        F.struct(F.lit(reply_to["email"]).alias("email"), F.lit(reply_to["name"]).alias("name")).alias("replyTo"),
         F.struct(company_name.alias("nom_societe"), siret.alias("siret"), n_items.alias("num_bordereaux")).alias("params"),
+        F.array(F.struct(attachment.alias("content"), F.lit(ATTACHMENT_NAME).alias("name"))).alias("attachment"),
     )
 
 
-@register("array_payload", """
-WITH r AS (SELECT conv_id, role, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS rn FROM conversations)
-SELECT conv_id, rn // 1000 AS part,
-       string_agg(role, ',' ORDER BY rn) AS roles,
-       count(*) AS n_turns,
-       CAST(to_json(list({'email': role} ORDER BY rn)) AS VARCHAR) AS recipients,
-       CAST(to_json({'to': list({'email': role} ORDER BY rn), 'templateId': 1,
-                     'params': {'nom_societe': 'conversation ' || CAST(conv_id AS VARCHAR),
-                                'siret': CAST(conv_id AS VARCHAR), 'num_bordereaux': count(*)}}) AS VARCHAR) AS payload
-FROM r GROUP BY conv_id, rn // 1000
+def attachments(items: DataFrame, group: str, order: list[str], fields: list[str]) -> DataFrame:
+    """``group, n_items, attachment``: a company's records, sorted, as one CSV with one
+    header, in base64."""
+    chunks = ordered_chunks(items, [group], order, fields, name="rows")
+    docs = one_document(chunks, [group], csv_lines("rows", fields), list_size("rows"), head=",".join(ATTACHMENT_HEADER) + "\n")
+    return docs.select(group, "n_items", csv_base64("document").alias("attachment"))
+
+
+def outlier_notices(companies: DataFrame, items: DataFrame, order: list[str], fields: list[str]) -> DataFrame:
+    """The job: ``siret, company_name, user_emails`` companies and their records -> an outbox of one
+    complete payload per company that has records, with the true number of them."""
+    files = attachments(items, "siret", order, fields)
+    joined = companies.join(files, "siret")
+    payload = notice_payload(as_objects("user_emails", "email"), F.col("company_name"), F.col("siret").cast("string"),
+                             F.col("n_items"), F.col("attachment"))
+    return outbox(joined, "siret", payload)
+
+
+def _records(orders: DataFrame) -> DataFrame:
+    """Stand-in records: a fifth of all orders are one company's (over 1000 from sf0.01 on), some
+    reception dates are missing."""
+    siret = F.when(F.col("o_orderkey") % 5 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
+    day = F.when(F.col("o_orderkey") % 7 == 0, None).otherwise(F.col("o_orderdate"))
+    return orders.select(siret.cast("bigint").alias("siret"), day.alias("day"), F.col("o_orderkey").alias("readable_id"),
+                         F.col("o_orderpriority").alias("bordereau_type"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("quantity"),
+                         F.date_format(day, "yyyy-MM-dd").alias("received_at"))
+
+
+RECORD_FIELDS = ["readable_id", "bordereau_type", "quantity", "received_at"]
+_FILES_SQL = """
+r AS (
+  SELECT CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_custkey END AS siret, o_orderkey,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderdate END AS day,
+         o_orderpriority, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS q
+  FROM orders),
+files AS (
+  SELECT siret, count(*) AS n_items,
+         base64(encode('Numéro du bordereau,Type de bordereau,Quantité en tonne,Date de réception' || chr(10) ||
+                string_agg(CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',' || q || ',' || coalesce(strftime(day, '%Y-%m-%d'), '') || chr(10),
+                           '' ORDER BY day NULLS LAST, o_orderkey))) AS attachment
+  FROM r GROUP BY siret)"""
+
+
+@register("nested_csv_base64", f"WITH {_FILES_SQL} SELECT siret, n_items, attachment FROM files")
+def nested_csv_base64_q(spark: SparkSession, sf: str) -> DataFrame:
+    return attachments(_records(read_table(spark, sf, "orders")), "siret", ["day", "readable_id"], RECORD_FIELDS)
+
+
+@register("array_payload", f"""
+WITH {_FILES_SQL},
+c AS (SELECT c_custkey AS siret, c_name, [lower(c_mktsegment) || '@example.org', 'user' || CAST(c_custkey % 7 AS VARCHAR) || '@example.org'] AS emails FROM customer
+      UNION ALL SELECT 0, 'All "others"', ['all@example.org'])
+SELECT c.siret,
+       CAST(to_json({{'to': list_transform(emails, lambda e: {{'email': e}}), 'templateId': 1,
+                     'replyTo': {{'email': 'reply@example.org', 'name': 'Service'}},
+                     'params': {{'nom_societe': c_name, 'siret': CAST(c.siret AS VARCHAR), 'num_bordereaux': n_items}},
+                     'attachment': [{{'content': attachment, 'name': 'bordereaux.csv'}}]}}) AS VARCHAR) AS payload
+FROM c JOIN files ON files.siret = c.siret
 """)
 def array_payload_q(spark: SparkSession, sf: str) -> DataFrame:
-    conv = read_table(spark, sf, "conversations")
-    nested = nest_ordered(conv, ["conv_id"], ["turn"], ["role"], name="turns", max_items=MAX_ITEMS)
-    roles = F.transform("turns", lambda x: x["role"])
-    to = as_objects(roles, "email")
-    n = list_size("turns").cast("bigint")
-    payload = notice_payload(to, F.concat(F.lit("conversation "), F.col("conv_id").cast("string")),
-                             F.col("conv_id").cast("string"), n)
-    return nested.select("conv_id", "part", join_text(roles).alias("roles"), n.alias("n_turns"),
-                         F.to_json(to).alias("recipients"), F.to_json(payload).alias("payload"))
-
-
-@register("nested_csv_base64", r"""
-WITH r AS (
-  SELECT o_custkey,
-         (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1) AS rn,
-         CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',' ||
-         CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) || ',' || strftime(o_orderdate, '%Y-%m-%d') AS line
-  FROM orders)
-SELECT o_custkey AS siret, rn // 1000 AS part, count(*) AS n_items,
-       base64(encode('Numéro du bordereau,Type de bordereau,Quantité en tonne,Date de réception' || chr(10) ||
-                     string_agg(line, chr(10) ORDER BY rn) || chr(10))) AS attachment
-FROM r GROUP BY o_custkey, rn // 1000
-""")
-def nested_csv_base64_q(spark: SparkSession, sf: str) -> DataFrame:
-    o = read_table(spark, sf, "orders")
-    items = [F.col("o_orderkey").alias("readable_id"), F.col("o_orderpriority").alias("bordereau_type"),
-             F.round(F.col("o_totalprice") * 100).cast("bigint").alias("quantity"),
-             F.date_format("o_orderdate", "yyyy-MM-dd").alias("received_at")]
-    # Records sorted by reception date, ties by id (a total order), in bounded parts.
-    nested = nest_ordered(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], items, name="bordereaux", max_items=MAX_ITEMS)
-    return nested.select(
-        F.col("o_custkey").alias("siret"), "part",
-        list_size("bordereaux").cast("bigint").alias("n_items"),
-        csv_base64("bordereaux", ATTACHMENT_HEADER, ["readable_id", "bordereau_type", "quantity", "received_at"]).alias("attachment"),
-    )
+    c = read_table(spark, sf, "customer")
+    emails = F.array(F.concat(F.lower("c_mktsegment"), F.lit("@example.org")),
+                     F.concat(F.lit("user"), (F.col("c_custkey") % 7).cast("string"), F.lit("@example.org")))
+    companies = c.select(F.col("c_custkey").cast("bigint").alias("siret"), F.col("c_name").alias("company_name"), emails.alias("user_emails"))
+    rest = c.select(F.lit(0).cast("bigint").alias("siret"), F.lit('All "others"').alias("company_name"),
+                    F.array(F.lit("all@example.org")).alias("user_emails")).limit(1)
+    return outlier_notices(companies.unionByName(rest), _records(read_table(spark, sf, "orders")), ["day", "readable_id"], RECORD_FIELDS)
 
 
 @register("json_typed", """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalar import left_chars
 from ledgerflow.operators.joins import replace_children, upsert
-from ledgerflow.operators.nested import explode_children, nest_ordered
+from ledgerflow.operators.nested import explode_children
 from ledgerflow.operators.reshape import align_columns, drop_falsy, rename_columns, select_columns
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
@@ -136,14 +136,13 @@ CHILD_RENAME = {"numeroRubrique": "rubrique", "regimeAutoriseAlinea": "regime",
 
 
 def site_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Stand-in API records: one per order with its lines as a ``rubriques`` list (lists of at
-    most 1000 items; an order without lines has a null list)."""
-    li = read_table(spark, sf, "lineitem")
-    nested = nest_ordered(li, ["l_orderkey"], ["l_linenumber"],
-                          [F.col("l_linenumber").alias("numeroRubrique"), F.col("l_returnflag").alias("regimeAutoriseAlinea"),
-                           F.col("l_quantity").alias("quantiteTotale")], name="rubriques")
+    """Stand-in API records: one per order with its lines as a ``rubriques`` list (a delivered record
+    holds its own children; an order without lines has a null list)."""
+    item = F.struct(F.col("l_linenumber").alias("numeroRubrique"), F.col("l_returnflag").alias("regimeAutoriseAlinea"),
+                    F.col("l_quantity").alias("quantiteTotale"))
+    nested = read_table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("codeAIOT")).agg(F.collect_list(item).alias("rubriques"))
     parents = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("codeAIOT"), "o_orderstatus")
-    return parents.join(nested.withColumnRenamed("l_orderkey", "codeAIOT"), "codeAIOT", "left")
+    return parents.join(nested, "codeAIOT", "left")
 
 
 @register("explode_children", """

@@ -31,7 +31,7 @@ def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 def _pointers(spark: SparkSession, table_path: str) -> list[tuple[int, str]]:
     try:
-        rows = spark.read.schema("seq bigint, version string").option("sep", "\t").csv(f"{table_path}/_published").collect()
+        rows = spark.read.schema("seq bigint, version string").option("sep", "\t").csv(f"{table_path}/pointers").collect()
     except AnalysisException as e:
         if _missing(e):
             return []
@@ -43,7 +43,7 @@ def _point_to(spark: SparkSession, table_path: str, version: str) -> None:
     """Adds a pointer file; none is ever rewritten, so a reader always finds the newest whole one."""
     seq = max([s for s, _ in _pointers(spark, table_path)], default=0) + 1
     line = spark.createDataFrame([(seq, version)], "seq bigint, version string").coalesce(1)
-    line.write.mode("append").option("sep", "\t").csv(f"{table_path}/_published")
+    line.write.mode("append").option("sep", "\t").csv(f"{table_path}/pointers")
 
 
 def current_version(spark: SparkSession, table_path: str) -> str | None:

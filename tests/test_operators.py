@@ -203,18 +203,22 @@ def test_explode_children_drops_childless_and_child_key_overrides(spark):
     assert rows(nested.explode_children(df2, "code", "kids")) == [(9, 5)]
 
 
-def test_nest_ordered_splits_hot_group_into_bounded_ordered_parts(spark):
-    df = spark.range(0, 2500).select(F.lit(1).alias("g"), F.col("id").alias("v")) \
-        .unionByName(spark.range(0, 3).select(F.lit(2).alias("g"), F.col("id").alias("v")))
-    out = nested.nest_ordered(df, ["g"], ["v"], ["v"], name="items", max_items=1000)
-    got = {(r.g, r.part): [x.v for x in r["items"]] for r in out.collect()}
+def test_a_hot_group_is_chunked_in_order_and_put_together(spark):
+    df = spark.range(0, 2500).select(F.lit(1).alias("g"), F.when(F.col("id") < 3, None).otherwise(F.col("id")).alias("v"), F.col("id")) \
+        .unionByName(spark.range(0, 3).select(F.lit(2).alias("g"), F.col("id").alias("v"), F.col("id")))
+    chunks = nested.ordered_chunks(df, ["g"], ["v", "id"], ["id"], chunk_items=1000)
+    got = {(r.g, r.chunk): [x.id for x in r["items"]] for r in chunks.collect()}
     assert sorted(got) == [(1, 0), (1, 1), (1, 2), (2, 0)]
-    assert got[(1, 0)] == list(range(1000)) and got[(1, 2)] == list(range(2000, 2500)) and got[(2, 0)] == [0, 1, 2]
+    # null order values come last
+    assert got[1, 0] + got[1, 1] + got[1, 2] == [*range(3, 2500), 0, 1, 2] and got[2, 0] == [0, 1, 2]
+    docs = nested.one_document(chunks, ["g"], nested.csv_lines("items", ["id"]), F.size("items"), head="ID\n")
+    want = "ID\n" + "".join(f"{i}\n" for i in [*range(3, 2500), 0, 1, 2])
+    assert {r.g: (r.n_items, r.document) for r in docs.collect()} == {1: (2500, want), 2: (3, "ID\n0\n1\n2\n")}
 
 
 def test_csv_base64_document(spark):
     df = spark.createDataFrame([([("7", "t,1")],)], "l array<struct<a:string,b:string>>")
-    got = df.select(nested.csv_base64("l", ["A", "B"], ["a", "b"])).first()[0]
+    got = df.select(nested.csv_base64(F.concat(F.lit("A,B\n"), nested.csv_lines("l", ["a", "b"])))).first()[0]
     assert base64.b64decode(got).decode() == 'A,B\n7,"t,1"\n'
 
 
@@ -241,6 +245,26 @@ def test_grouped_row_index_restarts_per_group(spark):
         assert [x[1] for x in got] == list(range(1, n + 1))
 
 
+def test_numbering_needs_no_checkpoint_and_handles_nulls_and_types(spark, tmp):
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 11 == 0, None).otherwise(F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id % 50)")).alias("t"),
+                                     F.concat(F.lit("k"), F.col("id") % 9).alias("s"), (F.col("id") / 7).alias("x"), F.col("id"))
+    out = ordinal.row_index(df, ["t", "s", "x", "id"], start=5, num_partitions=7)
+    assert "Scan ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()
+    want = [r.id for r in df.orderBy("t", "s", "x", "id").collect()]
+    assert [r.id for r in out.orderBy("row_idx").collect()] == want
+    assert [r.row_idx for r in out.orderBy("row_idx").collect()] == list(range(5, 4005))
+    hot = df.withColumn("g", F.when(F.col("id") % 3 > 0, None).otherwise(F.col("id") % 4))
+    for g, n in hot.groupBy("g").count().collect():
+        got = ordinal.grouped_row_index(hot, ["g"], ["t", "id"], num_partitions=6).where(F.col("g").eqNullSafe(F.lit(g))).orderBy("row_idx").collect()
+        assert [r.row_idx for r in got] == list(range(1, n + 1))
+        assert [r.id for r in got] == [r.id for r in hot.where(F.col("g").eqNullSafe(F.lit(g))).orderBy("t", "id").collect()]
+
+
+def test_no_rows_are_numbered(spark):
+    none = spark.range(0).withColumn("g", F.lit(1))
+    assert ordinal.row_index(none, ["id"]).count() == 0 and ordinal.grouped_row_index(none, ["g"], ["id"]).count() == 0
+
+
 def test_load_point_by_position_and_initial_values(spark):
     report = spark.createDataFrame([(2, 10, "2024-01-01"), (3, 11, ""), (4, 12, "2024-01-09"), (5, 13, "2024-01-03")],
                                    "row_idx long, number long, day string")

@@ -124,7 +124,7 @@ def test_pointer_is_never_rewritten_and_old_versions_go(spark, tmp):
     before = set()
     for i in range(5):
         writers.publish(df, path, f"v={i}")
-        files_now = {f for f in os.listdir(f"{path}/_published") if f.startswith("part-")}
+        files_now = {f for f in os.listdir(f"{path}/pointers") if f.startswith("part-")}
         assert before <= files_now
         before = files_now
     assert writers.drop_old_versions(spark, path, keep=2) == ["v=2", "v=1", "v=0"]
