@@ -1,4 +1,4 @@
-"""Data checks (Q1-Q4, A3). Each check is one aggregate pass; failures raise ``DataCheckError``."""
+"""Data checks (Q1-Q3, A3; Q4 is the FAILFAST mode of the readers). Each check is one aggregate pass; failures raise ``DataCheckError``."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, key: str | Sequence[str], what: str = "key") -> None:
-    """Q1/Q3: raise when a key repeats. Reads until the first duplicate only."""
+    """Q1/Q3: raise when a key repeats. One aggregate over all rows, combined before the shuffle."""
     dup = duplicate_keys(df, key).limit(1).collect()
     if dup:
         raise DataCheckError(f"duplicate {what} {_keys(key)}: {dup[0].asDict()}")
@@ -47,12 +47,6 @@ def assert_required(df: DataFrame, columns: Iterable[str]) -> None:
         raise DataCheckError(f"null values in required columns: {bad}")
 
 
-def assert_no_corrupt(df: DataFrame, corrupt_column: str = "_corrupt_record") -> None:
-    """Q4 (PERMISSIVE form): no malformed row. FAILFAST reading is the default elsewhere."""
-    if corrupt_column in df.columns and not df.where(F.col(corrupt_column).isNotNull()).isEmpty():
-        raise DataCheckError("malformed rows in input")
-
-
 def check_summary(df: DataFrame, key: str, columns: Iterable[str], name: str) -> DataFrame:
     """Q1+Q2+A3 in one pass: rows, duplicate keys and per-column null counts as one row.
     Stage 1 pre-aggregates per key (map-side combine); stage 2 folds keys into one row."""

@@ -1,4 +1,4 @@
-"""Predicates and config-driven fan-out."""
+"""Predicates and config-driven fan-out."""
 
 from __future__ import annotations
 
@@ -27,12 +27,6 @@ def at_least(c: str | Column, bound) -> Column:
     return x >= F.lit(bound)
 
 
-def member_of(c: str | Column, wanted: Iterable[str]) -> Column:
-    """Membership in a wanted list."""
-    x = F.col(c) if isinstance(c, str) else c
-    return x.isin(list(wanted))
-
-
 @dataclass(frozen=True)
 class DatasetSpec:
     """One published dataset (P16): table, output name and the range rule."""
@@ -53,11 +47,11 @@ class DatasetSpec:
         return F.col(self.week_column) >= F.lit(self.since_day).cast("date")
 
 
+def from_year(c: str, year: int) -> Column:
+    """P7 on a timestamp column: ``year(c) >= year`` as a range, which reaches the file scan."""
+    return F.col(c) >= F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def fan_out(specs: Iterable[DatasetSpec], load: Callable[[DatasetSpec], DataFrame]) -> dict[str, DataFrame]:
     """The same scan + range filter for each spec; one lazy DataFrame per dataset."""
     return {s.name: load(s).where(s.predicate()) for s in specs}
-
-
-def has_rows(df: DataFrame) -> bool:
-    """Empty-input guard before a write stage (reads at most one row)."""
-    return not df.isEmpty()

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.filters import DatasetSpec, fan_out
+from ledgerflow.operators.filters import DatasetSpec, fan_out, from_year
 from ledgerflow.operators.joins import flag_left_join
 from ledgerflow.operators.reshape import drop_columns, select_columns
 from ledgerflow.plans.catalog import register
@@ -39,7 +39,8 @@ def _stats_table(spark: SparkSession, sf: str, spec: DatasetSpec) -> DataFrame:
     if spec.table == "events_weekly":
         return read_table(spark, sf, "events").select(F.col("event_id").alias("key"),
                                                        F.col("ts").cast("date").alias("semaine"))
-    return read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"),
+    orders = read_table(spark, sf, "orders").where(from_year("o_orderdate", spec.since_year))  # pushed to the scan
+    return orders.select(F.col("o_orderkey").alias("key"),
                                                    F.year("o_orderdate").alias("annee"))
 
 
@@ -60,7 +61,7 @@ def range_publish_q(spark: SparkSession, sf: str) -> DataFrame:
 FEDERATED_SQL = """
 SELECT o_orderkey AS cle,
        CAST(o_orderdate AS DATE) AS date_inscription,
-       o_orderstatus AS statut,
+       CASE o_orderstatus WHEN 'F' THEN '  padded  ' WHEN 'P' THEN '' ELSE o_orderstatus END AS statut,
        o_orderpriority AS priorite
 FROM {orders}
 WHERE o_orderpriority <> '5-LOW'
@@ -68,7 +69,8 @@ WHERE o_orderpriority <> '5-LOW'
 
 
 @register("federated_query", """
-SELECT o_orderkey AS cle, CAST(o_orderdate AS DATE) AS date_inscription, o_orderstatus AS statut,
+SELECT o_orderkey AS cle, CAST(o_orderdate AS DATE) AS date_inscription,
+       CASE o_orderstatus WHEN 'F' THEN '  padded  ' WHEN 'P' THEN NULL ELSE o_orderstatus END AS statut,
        o_orderpriority AS priorite
 FROM orders WHERE o_orderpriority <> '5-LOW'
 """)

@@ -71,13 +71,15 @@ def land_numbered_pages(df: DataFrame, key: str, page_rows: int, path: str) -> N
 
 
 def read_complete_pages(spark: SparkSession, path: str, record_schema: str) -> DataFrame:
-    """Read landed envelopes and check that every page arrived and the record count
-    equals the announced total, before the records are used."""
+    """Read landed envelopes and check, before the records are used, that every page arrived
+    once and that the records in the lists (not their announced numbers) are the announced total."""
     env = read_envelopes(spark, path, f"page bigint, total_pages bigint, nombre bigint, total bigint, "
                                       f"data array<struct<{record_schema}>>")
-    got = env.agg(F.countDistinct("page").alias("pages"), F.max("total_pages").alias("tp"),
-                  F.sum("nombre").alias("n"), F.max("total").alias("t")).first()
-    if (got["pages"] or 0) != (got["tp"] or 0) or (got["n"] or 0) != (got["t"] or 0):
+    held = F.coalesce(F.size("data"), F.lit(0))
+    got = env.agg(F.countDistinct("page").alias("pages"), F.count(F.lit(1)).alias("landed"), F.max("total_pages").alias("tp"),
+                  F.sum(held).alias("n"), F.max("total").alias("t"),
+                  F.sum((held != F.col("nombre")).cast("int")).alias("short")).first()
+    if (got["pages"] or 0) != (got["tp"] or 0) or got["landed"] != got["pages"] or (got["n"] or 0) != (got["t"] or 0) or got["short"]:
         raise ValueError(f"incomplete page set: {got.asDict()}")
     return env.select("page", F.explode("data").alias("_r")).select("page", "_r.*")
 
@@ -94,10 +96,11 @@ def page_union_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------
-# interval_delta (S8/K9/F18/I1): three daily runs and a re-run of the second one.
+# interval_delta (S8/K9/F18/I1): three daily runs, a re-run of the second and an empty one of the third.
 
 RUNS = [(date(2024, 10, 1), date(2024, 10, 2)), (date(2024, 10, 2), date(2024, 10, 3)),
         (date(2024, 10, 3), date(2024, 10, 4)), (date(2024, 10, 2), date(2024, 10, 3))]
+EMPTIED = (date(2024, 10, 3), date(2024, 10, 4))  # re-run after the service withdrew all its changes
 CURSOR_ROWS = 1000
 ESTAB_SCHEMA = ("siret:bigint,denomination:string,"
                 "adresseEtablissement:struct<codeCommuneEtablissement:string,libelleCommuneEtablissement:string>,"
@@ -134,11 +137,23 @@ def land_cursor_pages(df: DataFrame, key: str, page_rows: int, path: str) -> Non
 
 
 def read_cursor_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The cursors must be one chain: every page landed once, every next cursor is a landed page,
+    one page is nobody's next (the first) and one is its own next (the last, where the client
+    stops); and the records in the lists must be the announced total. Only cursors are joined."""
     env = read_envelopes(spark, path, f"header struct<total:bigint,nombre:bigint,curseur:string,curseurSuivant:string>, "
                                       f"etablissements array<struct<{ESTAB_SCHEMA}>>")
-    got = env.agg(F.sum("header.nombre").alias("n"), F.max("header.total").alias("t")).first()
-    if (got["n"] or 0) != (got["t"] or 0):
-        raise ValueError(f"incomplete cursor pages: {got.asDict()}")
+    pages = env.select(F.col("header.curseur").alias("own"), F.col("header.curseurSuivant").alias("next"), F.col("header.total").alias("total"),
+                       F.coalesce(F.size("etablissements"), F.lit(0)).alias("held"))
+    steps = pages.where("own <> next").select(F.col("next").alias("to")).groupBy("to").agg(F.count(F.lit(1)).alias("n"))
+    joined = pages.join(steps, pages["own"] == steps["to"], "full_outer")
+    got = joined.agg(F.count("own").alias("landed"), F.countDistinct("own").alias("cursors"), F.sum("held").alias("n"), F.max("total").alias("t"),
+                     F.sum((F.col("own") == F.col("next")).cast("int")).alias("last"),
+                     F.sum((F.col("own").isNotNull() & F.col("to").isNull()).cast("int")).alias("first"),
+                     F.sum(F.col("own").isNull().cast("int")).alias("missing"), F.max("n").alias("reached")).first()
+    if got["landed"]:
+        ends = (got["last"], got["first"]) == (1, 1) or (got["landed"] == 1 and got["last"] == 1)
+        if got["landed"] != got["cursors"] or got["missing"] or not ends or (got["reached"] or 1) > 1 or got["n"] != got["t"]:
+            raise ValueError(f"incomplete cursor pages: {got.asDict()}")
     return records(env, "etablissements")
 
 
@@ -146,8 +161,7 @@ def read_cursor_pages(spark: SparkSession, path: str) -> DataFrame:
 WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
                   DATE '2024-10-01' + CAST(c_custkey % 4 AS INTEGER) AS d FROM customer),
 i(label, s, e) AS (VALUES ('20241001-20241002', DATE '2024-10-01', DATE '2024-10-02'),
-                          ('20241002-20241003', DATE '2024-10-02', DATE '2024-10-03'),
-                          ('20241003-20241004', DATE '2024-10-03', DATE '2024-10-04'))
+                          ('20241002-20241003', DATE '2024-10-02', DATE '2024-10-03'))
 SELECT i.label AS interval, c.c_custkey AS siret, c.c_name AS denomination,
        lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS codeCommuneEtablissement,
        c.c_mktsegment AS libelleCommuneEtablissement, c.c_mktsegment AS etatAdministratifEtablissement,
@@ -157,10 +171,11 @@ FROM c JOIN i ON c.d BETWEEN i.s AND i.e
 def interval_delta_q(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "interval_delta")
     changes = register_changes(spark, sf)
-    for start, end in RUNS:  # one scheduled run per interval; missed/re-run intervals replay here
+    for k, (start, end) in enumerate([*RUNS, EMPTIED]):  # one scheduled run per interval; missed/re-run intervals replay here
         label = interval_label(start, end)
-        landing = f"{root}/landing/{label}"
-        land_cursor_pages(changes.where(closed_interval("dateDernierTraitementEtablissement", start, end)),
+        landing = f"{root}/landing/{k}-{label}"
+        offered = changes if k < len(RUNS) else changes.where(F.lit(False))
+        land_cursor_pages(offered.where(closed_interval("dateDernierTraitementEtablissement", start, end)),
                           "siret", CURSOR_ROWS, landing)
         flat = flatten_one_level(read_cursor_pages(spark, landing)).withColumn("interval", F.lit(label))
         write_interval(flat, f"{root}/table", label)

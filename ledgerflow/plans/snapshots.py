@@ -9,7 +9,6 @@ import tarfile
 import zipfile
 from datetime import datetime
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,6 @@ from ledgerflow.sinks.writers import publish, read_published, truncate_load
 from ledgerflow.sources.archives import parse_member_csv, read_archive_lines
 from ledgerflow.sources.files import read_headless_csv, read_snapshot_csv, read_string_csv
 from ledgerflow.sources.tables import read_table
-from ledgerflow.session import ship_with_tasks
 
 
 def write_csv_file(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
@@ -77,47 +75,57 @@ WANTED_MEMBERS = ["nations.csv", "region.csv"]
 NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
 
 
-def _archive_writer(root: str):
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        from pyarrow import fs as pafs
-        region = int(pdf["n_regionkey"].iloc[0])
-        nations = "".join(f"{k};{n};{r}\n" for k, n, r in zip(pdf["n_nationkey"], pdf["n_name"], pdf["n_regionkey"]))
-        members = {"nations.csv": nations, "region.csv": f"{region};{pdf['r_name'].iloc[0]}\n",
-                   "version": "1\n", "notes.txt": "not wanted\n"}
-        buf = io.BytesIO()
-        if region == 0:
-            name = f"region_{region}.zip"
-            with zipfile.ZipFile(buf, "w") as z:
-                for m, text in members.items():
-                    z.writestr(m, text)
-        else:
-            name = f"region_{region}.tar.gz"
-            with tarfile.open(fileobj=buf, mode="w:gz") as tar:
-                for m, text in members.items():
-                    data = text.encode("utf-8")
-                    info = tarfile.TarInfo(m)
-                    info.size = len(data)
-                    tar.addfile(info, io.BytesIO(data))
-        filesystem, base = pafs.FileSystem.from_uri(root)
-        filesystem.create_dir(base, recursive=True)
-        with filesystem.open_output_stream(f"{base}/{name}", compression=None) as out:
-            out.write(buf.getvalue())
-        return pd.DataFrame({"archive": [name], "members": [len(members)]})
-    return write
+def archive_bytes(name: str, members: dict[str, str]) -> bytes:
+    """A zip or tar.gz file with the given members."""
+    buf = io.BytesIO()
+    if name.endswith(".zip"):
+        with zipfile.ZipFile(buf, "w") as z:
+            for m, text in members.items():
+                z.writestr(m, text)
+    else:
+        with tarfile.open(fileobj=buf, mode="w:gz") as tar:
+            for m, text in members.items():
+                info = tarfile.TarInfo(m)
+                info.size = len(text.encode())
+                tar.addfile(info, io.BytesIO(text.encode()))
+    return buf.getvalue()
+
+
+def land_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Puts one small file where the cluster's other files are (any Hadoop file system)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def csv_text(df: DataFrame, sep: str = ";") -> str:
+    """Producer side of a small delivery (a dimension table): its rows as quoted CSV text."""
+    cells = [F.when(F.col(c).isNull(), F.lit("")).otherwise(
+        F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))) for c in df.columns]
+    return "".join(r["l"] + "\n" for r in df.select(F.concat_ws(sep, *cells).alias("l")).collect())
 
 
 @register("archive_members", """
 SELECT 'region_' || CAST(n_regionkey AS VARCHAR) || CASE WHEN n_regionkey = 0 THEN '.zip' ELSE '.tar.gz' END AS archive,
-       CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
+       CAST(n_nationkey AS VARCHAR) AS n_nationkey,
+       CASE WHEN n_nationkey % 5 = 1 THEN NULL WHEN n_nationkey % 5 = 2 THEN n_name || '; "the' || chr(10) || 'second"' ELSE n_name END AS n_name,
+       CAST(n_regionkey AS VARCHAR) AS n_regionkey
 FROM nation
 """)
 def archive_members_q(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "archives")
-    nations = read_table(spark, sf, "nation").join(read_table(spark, sf, "region")
-                                                   .select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
-    # One archive per region, each written by the task that holds that region's rows.
-    written = nations.groupBy("n_regionkey").applyInPandas(_archive_writer(root), "archive string, members int")
-    written.collect()  # small: one row per archive written
+    nations = read_table(spark, sf, "nation")
+    name = F.when(F.col("n_nationkey") % 5 == 1, F.lit("NA")) \
+            .when(F.col("n_nationkey") % 5 == 2, F.concat("n_name", F.lit('; "the\nsecond"'))).otherwise(F.col("n_name"))
+    regions = [r[0] for r in read_table(spark, sf, "region").select("r_regionkey").collect()]  # a fixed handful
+    for k in regions:
+        rows = nations.where(F.col("n_regionkey") == k).select("n_nationkey", name.alias("n_name"), "n_regionkey")
+        members = {"nations.csv": csv_text(rows), "region.csv": f"{k};x\n", "version": "1\n", "notes.txt": "not wanted\n"}
+        file = f"region_{k}.zip" if k == 0 else f"region_{k}.tar.gz"
+        land_file(spark, f"{root}/{file}", archive_bytes(file, members))
     lines = read_archive_lines(spark, root, WANTED_MEMBERS)
     return parse_member_csv(lines, "nations.csv", NATION_COLUMNS).select("archive", *NATION_COLUMNS)
 
@@ -131,7 +139,8 @@ LOAD_TIME = datetime(2024, 6, 3, 2, 0, 0)   # one value per run (the job passes
 
 @register("sites_snapshot", """
 SELECT CAST(s_suppkey AS VARCHAR) AS codeS3ic,
-       CASE WHEN s_nationkey = 5 THEN NULL WHEN s_nationkey = 6 THEN NULL WHEN s_nationkey = 7 THEN NULL ELSE s_name END AS nomEts,
+       CASE WHEN s_nationkey = 5 THEN NULL WHEN s_nationkey = 6 THEN NULL WHEN s_nationkey = 7 THEN NULL
+            WHEN s_nationkey = 8 THEN s_name || '; "quoted"' || chr(10) || 'next' ELSE s_name END AS nomEts,
        CAST(s_nationkey AS VARCHAR) AS codeCommuneEtablissement,
        CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS rayon,
        TIMESTAMP '2024-06-03 02:00:00' AS inserted_at
@@ -140,7 +149,8 @@ FROM supplier
 def sites_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
     s = read_table(spark, sf, "supplier")
     name = (F.when(F.col("s_nationkey") == 5, F.lit("n/a")).when(F.col("s_nationkey") == 6, F.lit("NULL"))
-             .when(F.col("s_nationkey") == 7, F.lit("")).otherwise(F.col("s_name")))
+             .when(F.col("s_nationkey") == 7, F.lit("")).when(F.col("s_nationkey") == 8, F.concat("s_name", F.lit('; "quoted"\nnext')))
+             .otherwise(F.col("s_name")))
     delivery = s.select(F.col("s_suppkey").cast("string"), name, F.col("s_nationkey").cast("string"),
                         F.col("s_acctbal").cast("decimal(12,2)").cast("string"))
     root = scratch_path(spark, "sites_snapshot")
@@ -156,9 +166,9 @@ def sites_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------
-# na_tokens (S10/F13): 19 NA tokens and 6 look-alikes that must survive.
+# na_tokens (S10/F13): 19 NA tokens and look-alikes that must survive, quoted ones among them.
 
-DECOYS = ["NA ", "na", "Nan", "NONE", "-", "n.a."]
+DECOYS = ["NA ", "na", "Nan", "NONE", "-", "n.a.", 'say "NA", twice', "two\nlines"]
 TOKENS = NA_TOKENS + DECOYS
 _TOKEN_SQL = "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in TOKENS) + "]"
 _NA_SQL = "(" + ", ".join("'" + t + "'" for t in NA_TOKENS) + ")"
@@ -176,5 +186,3 @@ def na_tokens_q(spark: SparkSession, sf: str) -> DataFrame:
     write_csv_file(p.select("p_partkey", raw.alias("p_name")), root)
     return read_string_csv(spark, root, ["p_partkey", "p_name"])
 
-
-ship_with_tasks(__name__)

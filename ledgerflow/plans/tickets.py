@@ -18,7 +18,7 @@ from ledgerflow.operators.ordinal import load_point, row_index
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks.writers import publish, read_published
-from ledgerflow.sources.files import read_array_pages
+from ledgerflow.sources.files import check_short_page, read_array_pages
 from ledgerflow.sources.tables import read_table
 
 # ---------------------------------------------------------------------------------------------
@@ -244,12 +244,14 @@ TICKET_SCHEMA = "number bigint, ts timestamp_ntz, created_at string, day string"
 
 
 def land_ticket_pages(tickets: DataFrame, path: str) -> None:
-    """The ticket service's answer as landed files: pages of up to 50 tickets by ticket number,
-    each page one JSON array (one page per line). Numbers are unique, so a page never holds more
-    than 50 tickets."""
-    pages = tickets.groupBy(F.expr(f"number div {TICKET_PAGE_ROWS}").alias("page")).agg(
-        F.to_json(F.collect_list(F.struct("number", "ts", "created_at", "day"))).alias("value"))
-    pages.select("value").write.mode("overwrite").text(path)
+    """The ticket service's answer as landed files: pages of 50 tickets in the order of their
+    numbers, each page one JSON array (one page per line), the last one not full (or empty)."""
+    numbered = row_index(tickets, ["number"], start=0, name="_i")
+    pages = numbered.groupBy(F.expr(f"_i div {TICKET_PAGE_ROWS}").alias("page")).agg(
+        F.to_json(F.collect_list(F.struct("number", "ts", "created_at", "day"))).alias("value")).select("value")
+    if tickets.count() % TICKET_PAGE_ROWS == 0:
+        pages = pages.unionAll(tickets.sparkSession.createDataFrame([("[]",)], "value string"))
+    pages.write.mode("overwrite").text(path)
 
 
 @register("report_reload", """
@@ -272,6 +274,7 @@ def report_reload_q(spark: SparkSession, sf: str) -> DataFrame:
     wanted = tickets.where(closed_interval("day", f"{start_day:%Y-%m-%d}", f"{end_day:%Y-%m-%d}")
                            & at_least("number", point["next_number"]))
     land_ticket_pages(wanted, f"{root}/pages")
+    check_short_page(spark, f"{root}/pages", TICKET_PAGE_ROWS)
     pages = read_array_pages(spark, f"{root}/pages", TICKET_SCHEMA)
     reload = row_index(pages, ["ts", "number"], start=point["next_row_idx"]).select(*cols)
     publish(overlay_rows(report, reload, "row_idx"), f"{root}/report", "v=2")  # K7

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.scalar import first_non_null, year_bucket, year_of
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
-from ledgerflow.sinks.writers import export_by_bucket
+from ledgerflow.sinks.writers import export_by_bucket, export_parquet
 from ledgerflow.sources.tables import read_table
 
 FIRST_YEAR, LAST_YEAR = 1996, 1999
@@ -55,17 +55,23 @@ WITH b AS (
         FROM orders))
 SELECT 'full' AS copy, o_orderkey, year_bucket FROM b
 UNION ALL
-SELECT 'yearly' AS copy, o_orderkey, year_bucket FROM b WHERE year_bucket IS NOT NULL
+SELECT 'plain' AS copy, o_orderkey, NULL AS year_bucket FROM orders
+UNION ALL
+SELECT 'yearly' AS copy, o_orderkey, year_bucket FROM b WHERE year_bucket = 1997
 """)
 def year_bucket_copies_q(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     emission = F.when(F.month("o_orderdate") == 1, None).otherwise(F.col("o_orderdate"))
     created = F.when(F.year("o_orderdate") == 1995, None).otherwise(F.col("o_orderdate"))
-    df = o.withColumn("year_bucket", year_bucket(year_of(first_non_null(emission, created)), FIRST_YEAR, LAST_YEAR))
+    year = year_of(first_non_null(emission, created))
     path = scratch_path(spark, "yearly_copies")
-    export_by_bucket(df, path, "year_bucket")
-    back = spark.read.parquet(path).withColumn("year_bucket", F.col("year_bucket").cast("bigint"))
+    # last year's run had another window; its buckets must not survive the next export
+    export_by_bucket(o.withColumn("year_bucket", year_bucket(year, FIRST_YEAR - 2, LAST_YEAR - 1)), f"{path}/buckets", "year_bucket")
+    export_by_bucket(o.withColumn("year_bucket", year_bucket(year, FIRST_YEAR, LAST_YEAR)), f"{path}/buckets", "year_bucket")
+    export_parquet(o, f"{path}/plain")  # K4 by itself
+    back = spark.read.parquet(f"{path}/buckets").withColumn("year_bucket", F.col("year_bucket").cast("bigint"))
     full = back.select(F.lit("full").alias("copy"), "o_orderkey", "year_bucket")
+    plain = spark.read.parquet(f"{path}/plain").select(F.lit("plain").alias("copy"), "o_orderkey", F.lit(None).cast("bigint").alias("year_bucket"))
     # A yearly copy is a partition read: the bucket predicate prunes folders (PartitionFilters).
-    yearly = back.where(F.col("year_bucket").isNotNull()).select(F.lit("yearly").alias("copy"), "o_orderkey", "year_bucket")
-    return full.unionByName(yearly)
+    yearly = back.where(F.col("year_bucket") == 1997).select(F.lit("yearly").alias("copy"), "o_orderkey", "year_bucket")
+    return full.unionByName(plain).unionByName(yearly)

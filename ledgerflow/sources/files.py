@@ -77,6 +77,16 @@ def read_array_pages(spark: SparkSession, path: str, schema: T.StructType | str,
     return spark.read.schema(schema).option("multiLine", one_page_per_file).option("mode", "FAILFAST").json(path)
 
 
+def check_short_page(spark: SparkSession, path: str, page_rows: int) -> None:
+    """A client asks for pages until one is not full, so exactly one landed page (one per line)
+    may hold fewer than ``page_rows`` elements, an empty one included, and none may hold more."""
+    size = F.coalesce(F.json_array_length("value"), F.lit(-1))
+    got = spark.read.text(path).agg(F.count(F.lit(1)).alias("pages"), F.sum((size < page_rows).cast("int")).alias("short"),
+                                    F.max(size).alias("most"), F.min(size).alias("least")).first()
+    if got["short"] != 1 or got["most"] > page_rows or got["least"] < 0:
+        raise ValueError(f"incomplete pages: {got.asDict()}")
+
+
 def records(envelopes: DataFrame, data: str = "data") -> DataFrame:
     """The union of every page's records (``explode`` of the data list)."""
     return envelopes.select(F.explode(F.col(data)).alias("_r")).select("_r.*")
@@ -85,16 +95,3 @@ def records(envelopes: DataFrame, data: str = "data") -> DataFrame:
 def parse_json_column(c: str | Column, schema: T.StructType | str) -> Column:
     """JSON text -> struct with forced types (a code declared STRING keeps leading zeros)."""
     return F.from_json(F.col(c) if isinstance(c, str) else c, schema, {"mode": "FAILFAST"})
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S12 (batch): one row per text line, column ``value``."""
-    return spark.read.text(path)
-
-
-def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S12 (stream): new text files in a folder as an unbounded line source."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)

@@ -24,20 +24,13 @@ def register_views(spark: SparkSession, base: str, names=DRIVER_TABLES, prefix:
     return views
 
 
-def query(spark: SparkSession, sql: str) -> DataFrame:
-    """projection/alias/filter given as SQL text; Catalyst plans it like DataFrame code."""
-    return spark.sql(sql)
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, partitions: int = 64,
-              properties: dict | None = None) -> DataFrame:
-    """S2/S3 against a database: read in parallel slices of ``partition_column`` (never one
-    connection for the whole table)."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
-                        .option("upperBound", upper).option("numPartitions", partitions))
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int,
+              partitions: int = 64, properties: dict | None = None) -> DataFrame:
+    """S2/S3 against a database: read in parallel slices of ``partition_column``, so never over one
+    connection for the whole table. (No database is at hand here: untested.)"""
+    reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
+                   .option("partitionColumn", partition_column).option("lowerBound", lower)
+                   .option("upperBound", upper).option("numPartitions", partitions))
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     return reader.load()
