@@ -31,16 +31,6 @@ def align_columns(df: DataFrame, columns: Mapping[str, str | T.DataType]) -> Dat
     return df.withColumns(missing) if missing else df
 
 
-def with_constant(df: DataFrame, name: str, value) -> DataFrame:
-    """P5: constant column."""
-    return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))
-
-
-def overwrite_where(df: DataFrame, name: str, mask: Column, other: Column) -> DataFrame:
-    """``df.loc[mask, name] = other``."""
-    return df.withColumn(name, F.when(mask, other).otherwise(F.col(name)))
-
-
 def drop_falsy(df: DataFrame, record: str) -> DataFrame:
     """Drop null records and empty objects (a struct whose fields are all null)."""
     fields = [f.name for f in df.schema[record].dataType.fields]
@@ -50,6 +40,8 @@ def drop_falsy(df: DataFrame, record: str) -> DataFrame:
     return df.where(F.col(record).isNotNull() & any_set)
 
 
-def blank_nulls(df: DataFrame) -> DataFrame:
-    """every column to text, null -> '' (``fillna('')`` skips non-text columns, so cast first)."""
-    return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
+def blank_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """the columns (all by default) to text, null -> '' (``fillna('')`` skips non-text columns,
+    so cast first)."""
+    wanted = set(df.columns if columns is None else columns)
+    return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])

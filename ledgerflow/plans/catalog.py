@@ -13,7 +13,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 PLAN_MODULES = ("open_data", "geocoding", "yearly_copies", "risk_sites", "register_delta", "notices",
-                "tickets", "snapshots", "stats")
+                "tickets", "snapshots", "stats", "jobs")
 
 
 def register(name: str, sql: str | None = None):

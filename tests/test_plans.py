@@ -18,6 +18,11 @@ def test_changed_since_filter_is_pushed_to_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
 
 
+def test_year_range_is_pushed_to_scan(spark):
+    p = plan(catalog.queries()["range_publish"](spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate" in p
+
+
 def test_column_pruning_for_flag_join(spark):
     p = plan(catalog.queries()["flag_left_join"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,lang:string,n_chars:bigint>" in p
@@ -28,16 +33,30 @@ def test_yearly_copy_reads_with_partition_filter(spark):
     assert "PartitionFilters: [isnotnull(year_bucket" in p
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.queries() if n not in ("archive_members", "batch_enrich")])
-def test_no_python_in_plan(spark, name):
-    p = plan(catalog.queries()[name](spark, SF))
-    assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p and "MapInPandas" not in p \
-        and "FlatMapGroupsInPandas" not in p
+def test_python_workers_only_in_archives_and_enrichment(spark, monkeypatch):
+    """Also in the steps that a query runs before it returns its plan."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
+    used, now = {}, None
+
+    def noted(kind, name):
+        plain = getattr(kind, name)
+
+        def run(self, fn, *args, **kwargs):
+            used.setdefault(now, set()).add(fn.__module__)
+            return plain(self, fn, *args, **kwargs)
 
+        monkeypatch.setattr(kind, name, run)
 
-def test_python_only_in_archive_and_enrich(spark):
-    assert "MapInPandas" in plan(catalog.queries()["batch_enrich"](spark, SF))
-    assert "MapInPandas" in plan(catalog.queries()["archive_members"](spark, SF))
+    for name in ("mapInPandas", "mapInArrow"):
+        noted(DataFrame, name)
+    for name in ("applyInPandas", "applyInArrow"):
+        noted(PandasGroupedOpsMixin, name)
+    for now, query in catalog.queries().items():
+        p = plan(query(spark, SF))
+        assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p, now
+    assert used == {"archive_members": {"ledgerflow.sources.archives"}, "job_archive_load": {"ledgerflow.sources.archives"},
+                    "batch_enrich": {"ledgerflow.operators.enrich"}, "job_geocoding": {"ledgerflow.operators.enrich"}}
 
 
 def test_small_source_upsert_does_not_shuffle_target(spark):
