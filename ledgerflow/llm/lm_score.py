@@ -1,14 +1,15 @@
 """LM scoring (operator 6): prediction by partial matching over bytes, pretrained on the corpus.
 
-* Trie: counts of every byte after its last three bytes, over all training documents, summed by a
-  shuffle; orders 2, 1 and 0 are sums of them. A three-byte context is kept when it holds a share
-  of at least 2^-16 of the training bytes, so at most 2^16 are; all shorter contexts are kept. A
-  context's followers are kept whole.
+* Trie: counts of every byte after its last five bytes, over all training documents; a task's
+  distinct codes are dealt by the nearest three bytes, so one range has all that contexts of three to
+  five bytes need, and orders 2, 1 and 0 are sums. A context of three bytes or more is kept when it
+  holds a share of at least 2^-16 of the training bytes, so at most 2^16 of each length are; all
+  shorter contexts are kept, and a context's followers are kept whole.
 * Coding: escape estimation by method C (an escape counts as often as the context has distinct
   followers) with symbol exclusion: after an escape the followers of the longer context are out of
-  the shorter one's counts; below order 0 the bytes left are equally likely. Each context's code
-  lengths for all 256 bytes are made once, and the table (1 KB a context, at most 128 MB) is
-  broadcast. A document's score is the sum over its bytes.
+  the shorter one's counts; below order 0 the bytes left are equally likely. The kept trie is
+  broadcast as sorted arrays (bounded by its contexts; a few MB). A document's score is the sum over
+  its bytes; a batch looks each of its distinct codes up once.
 * Word base: a block of documents (a map task's stretch) sorts its words' hashes and deals them to
   ranges of the hash, with the documents that hold them; a range sums the training counts over all
   blocks and returns each block's partial sums. A word in every document is one entry in a block.
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from ledgerflow.llm import _text as tx
 from ledgerflow.llm._frames import doc_texts, shuffle_partitions
 from ledgerflow.llm._graph import cut
+from ledgerflow.llm._pack import pack, pack_sorted, unpack
 
 FOLDS, HELD_OUT = 7, 2   # rows whose crc32(doc_id as text) mod 7 is 2 teach nothing
-SHARE = 1 << 16          # a three-byte context is kept with at least 1 / SHARE of all bytes
+DEPTH = 5                # bytes of the longest context
+SHARE = 1 << 16          # a context of three or more bytes is kept with at least 1 / SHARE of all bytes
 BLOCK_WORDS = 3_000_000  # words (or BLOCK_DOCS documents) of a block
 BLOCK_DOCS = 60_000
 ROW = 256
@@ -198,75 +201,121 @@ def word_base(texts: DataFrame) -> tuple[DataFrame, int, int, int]:
 
 # --- the byte model ------------------------------------------------------------------------------
 
-def contexts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For every byte the three bytes before it in its text (zeros before the text)."""
+def grams_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For every byte one code: the ``DEPTH`` bytes before it in its text (zeros before the text),
+    the nearest lowest, and then the byte itself in the lowest eight bits."""
     n_texts = len(offsets) - 1
-    wide = np.zeros(len(data) + 3 * n_texts, np.uint32)
-    at = np.arange(len(data)) + 3 * (np.repeat(np.arange(n_texts), np.diff(offsets)) + 1)
+    wide = np.zeros(len(data) + DEPTH * n_texts, np.uint64)
+    at = np.arange(len(data)) + DEPTH * (np.repeat(np.arange(n_texts), np.diff(offsets)) + 1)
     wide[at] = data
-    return (wide[at - 3] << np.uint32(16)) | (wide[at - 2] << np.uint32(8)) | wide[at - 1]
+    code = wide[at]
+    for k in range(1, DEPTH + 1):
+        code |= wide[at - k] << np.uint64(8 * k)
+    return code
 
 
-def count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (three bytes, next byte) codes of the training texts and their counts."""
-    codes, counts, held = [], [], 0
+def low(code: np.ndarray, n_bytes: int) -> np.ndarray:
+    return code & np.uint64((1 << (8 * n_bytes)) - 1)
 
-    def merged():
-        c, n = np.concatenate(codes), np.concatenate(counts)
-        order = np.argsort(c)
-        c, n = c[order], n[order]
-        start = np.flatnonzero(np.append(True, c[1:] != c[:-1])) if len(c) else np.zeros(0, np.int64)
-        return c[start], np.add.reduceat(n, start) if len(c) else n
 
-    for batch in batches:
-        train = ~held_out(batch.column("doc_id").to_pylist())
-        data, offsets = tx.utf8(batch.filter(pa.array(train)).column("text"))
-        code = np.sort((contexts_of(data, offsets) << np.uint32(8)) | data)
-        start = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-        codes.append(code[start])
-        counts.append(np.diff(np.append(start, len(code))))
-        held += len(start)
-        if held > 4_000_000:
-            c, n = merged()
-            codes, counts, held = [c], [n], 0
-            if len(c) > 2_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)), pa.array(n)], names=["code", "n"])
-                codes, counts, held = [], [], 0
-    if codes:
-        c, n = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)), pa.array(n)], names=["code", "n"])
+def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, sorted, and the sums of their counts."""
+    order = np.argsort(code)
+    code, n = code[order], n[order]
+    start = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    return code[start], np.add.reduceat(n, start) if len(code) else n
+
+
+def scatter_grams(ranges: int):
+    """Distinct codes of a task's training texts with their counts, dealt by the nearest three bytes
+    of the context: a range has all counts of such contexts and of the longer ones that end so."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, counts, held = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            code, n = summed(np.concatenate(codes), np.concatenate(counts))
+            part = (tx.mix(low(code >> np.uint64(8), 3)) % np.uint64(ranges)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            edge = np.searchsorted(part[order], np.arange(ranges + 1))
+            parts = np.flatnonzero(np.diff(edge))
+            payloads = [pack(pack_sorted(code[order[edge[r]:edge[r + 1]]]), n[order[edge[r]:edge[r + 1]]].astype(np.uint32)) for r in parts]
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())], names=["part", "payload"])
+
+        for batch in batches:
+            train = ~held_out(batch.column("doc_id").to_pylist())
+            code = np.sort(grams_of(*tx.utf8(batch.filter(pa.array(train)).column("text"))))
+            start = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+            codes.append(code[start])
+            counts.append(np.diff(np.append(start, len(code))))
+            held += len(start)
+            if held > 3_000_000:
+                code, n = summed(np.concatenate(codes), np.concatenate(counts))
+                codes, counts, held = [code], [n], len(code)
+                if held > 1_500_000:
+                    yield flush()
+                    codes, counts, held = [], [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def count_grams(total: int, share: int):
+    """One range: for contexts of five, four and three bytes the followers' counts of those kept, for
+    two bytes partial sums (``depth``, packed codes and counts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, counts = [], []
+        for batch in batches:
+            for raw in batch.column("payload"):
+                code, n = unpack(raw.as_py())
+                codes.append(np.cumsum(code, dtype=np.uint64))
+                counts.append(n.astype(np.int64))
+            if len(codes) > 64:
+                code, n = summed(np.concatenate(codes), np.concatenate(counts))
+                codes, counts = [code], [n]
+        if not codes:
+            return
+        code, n = summed(np.concatenate(codes), np.concatenate(counts))
+        depths, payloads = [], []
+        for k in range(DEPTH, 1, -1):
+            code, n = summed(low(code, k + 1), n) if k < DEPTH else (code, n)
+            ctx = code >> np.uint64(8)
+            start = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
+            kept = np.repeat(np.add.reduceat(n, start) * share >= total, np.diff(np.append(start, len(ctx)))) if k > 2 else np.ones(len(code), bool)
+            depths.append(k)
+            payloads.append(pack(pack_sorted(code[kept]), n[kept]))
+        yield pa.RecordBatch.from_arrays([pa.array(depths, pa.int32()), pa.array(payloads, pa.binary())], names=["depth", "payload"])
+
+    return run
 
 
 def dense(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Contexts (sorted) and their 256 followers' counts, from sorted (context, byte) codes."""
-    ctx, row = np.unique(code >> 8, return_inverse=True)
+    ctx, row = np.unique(code >> np.uint64(8), return_inverse=True)
     table = np.zeros((len(ctx), ROW))
-    table[row, code & 255] = n
+    table[row, low(code, 1).astype(np.int64)] = n
     return ctx, table
 
 
-def code_lengths(n4: tuple[np.ndarray, np.ndarray], n3: tuple[np.ndarray, np.ndarray]) -> dict:
-    """log10 probabilities of all bytes in all contexts: ``rows`` of the context's order and place,
-    from counts of (three bytes, byte) of the kept contexts and of all (two bytes, byte)."""
-    ctx3, c3 = dense(*n4)
-    ctx2, c2 = dense(*n3)
-    levels = [None, None, (ctx2, c2), (ctx3, c3)]
+def short_contexts(code: np.ndarray, n: np.ndarray) -> dict:
+    """For contexts of two bytes and shorter, code lengths of all 256 bytes: ``start`` when coding
+    begins there, ``tail`` after an escape from there; rows of order 2, 1 and 0 one after another."""
+    levels = [None, None, dense(code, n)]
     for k in (1, 0):
-        code, owner = np.unique(levels[k + 1][0] & ((1 << (8 * k)) - 1), return_inverse=True)
-        t = np.zeros((len(code), ROW))
+        ctx, owner = np.unique(low(levels[k + 1][0], k) if k else np.zeros_like(levels[k + 1][0]), return_inverse=True)
+        t = np.zeros((len(ctx), ROW))
         np.add.at(t, owner, levels[k + 1][1])
-        levels[k] = (code, t)
+        levels[k] = (ctx, t)
     if not len(levels[0][0]):
-        levels[0] = (np.zeros(1, np.int64), np.zeros((1, ROW)))
+        levels[0] = (np.zeros(1, np.uint64), np.zeros((1, ROW)))
     starts, tails = [], []
     with np.errstate(divide="ignore", invalid="ignore"):
         for k, (ctx, c) in enumerate(levels):
             seen = c > 0
             if k == 0:
-                left = max(1, ROW - int(seen.sum()))
-                tail = np.full((len(ctx), ROW), -math.log10(left), np.float32)
+                tail = np.full((len(ctx), ROW), -math.log10(max(1, ROW - int(seen.sum()))), np.float32)
             else:
-                parent = np.searchsorted(levels[k - 1][0], ctx & ((1 << (8 * (k - 1))) - 1))
+                parent = np.searchsorted(levels[k - 1][0], low(ctx, k - 1) if k > 1 else np.zeros_like(ctx))
                 tail = np.empty((len(ctx), ROW), np.float32)
                 for i in range(0, len(ctx), 2048):
                     p, own = parent[i:i + 2048], seen[i:i + 2048]
@@ -275,55 +324,117 @@ def code_lengths(n4: tuple[np.ndarray, np.ndarray], n3: tuple[np.ndarray, np.nda
                     total, kinds = cp.sum(1, keepdims=True), new.sum(1, keepdims=True)
                     escape = np.where(kinds > 0, np.log10(kinds / (total + kinds)), 0.0)
                     tail[i:i + 2048] = np.where(new, np.log10(cp / (total + kinds)), escape + tails[k - 1][p])
-            start = np.empty((len(ctx), ROW), np.float32)
-            for i in range(0, len(ctx), 2048):
-                own = c[i:i + 2048]
-                total, kinds = own.sum(1, keepdims=True), (own > 0).sum(1, keepdims=True)
-                escape = np.where(kinds > 0, np.log10(kinds / (total + kinds)), 0.0)
-                start[i:i + 2048] = np.where(own > 0, np.log10(own / (total + kinds)), escape + tail[i:i + 2048])
-            starts.append(start)
+            total, kinds = c.sum(1, keepdims=True), seen.sum(1, keepdims=True)
+            escape = np.where(kinds > 0, np.log10(kinds / (total + kinds)), 0.0)
+            starts.append(np.where(seen, np.log10(c / (total + kinds)), escape + tail).astype(np.float32))
             tails.append(tail)
-    return {"table": np.concatenate(starts), "contexts": [x[0] for x in levels]}
-
-
-def row_index(model: dict) -> np.ndarray:
-    """For every three bytes the table row of the longest kept context; made once in a worker."""
-    if "rows" not in model:
-        first = np.cumsum([0] + [len(c) for c in model["contexts"]])
-        two = np.zeros(1 << 16, np.int32)
-        one = model["contexts"][1]
-        by_one = np.zeros(256, np.int32)
-        by_one[one] = first[1] + np.arange(len(one))
-        two[:] = np.tile(by_one, 256)
-        two[model["contexts"][2]] = first[2] + np.arange(len(model["contexts"][2]))
-        rows = np.tile(two, 256)
-        rows[model["contexts"][3]] = first[3] + np.arange(len(model["contexts"][3]))
-        model["rows"], model["flat"] = rows, model["table"].reshape(-1)
-    return model["rows"]
+    one = np.zeros(ROW, np.int64)
+    one[levels[1][0].astype(np.int64)] = len(levels[2][0]) + np.arange(len(levels[1][0]))
+    one[np.setdiff1d(np.arange(ROW), levels[1][0].astype(np.int64))] = len(levels[2][0]) + len(levels[1][0])
+    row = np.tile(one, ROW)  # of any two bytes: order 2, else 1, else 0
+    row[levels[2][0].astype(np.int64)] = np.arange(len(levels[2][0]))
+    return {"row": row.astype(np.int32), "start": np.concatenate(starts[::-1]), "tail": tails[2], "count": levels[2][1].astype(np.float32)}
+
+
+def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in sorted ``keys``; -1 for none."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def byte_model(grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict:
+    """The trie as sorted arrays. For each depth from three bytes up: the followers (``gram``,
+    ``n``), the contexts (``ctx``), their ``total`` and ``kinds``; and, for what comes after an escape
+    from them, the shorter context's ``rest_total`` and ``rest_kinds`` without their followers."""
+    empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    model = {"short": short_contexts(*grams.get(2, empty))}
+    count2 = model["short"]["count"]
+    total, kinds, parents = count2.sum(1, dtype=np.float64), (count2 > 0).sum(1), None
+    for k in range(3, DEPTH + 1):
+        code, n = grams.get(k, empty)
+        ctx = code >> np.uint64(8)
+        start = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1])) if len(ctx) else np.zeros(0, np.int64)
+        ctx = ctx[start]
+        if k == 3:
+            up = model["short"]["row"][low(ctx, 2).astype(np.int64)]
+            lower = count2[np.repeat(up, np.diff(np.append(start, len(code)))), low(code, 1).astype(np.int64)].astype(np.float64)
+        else:
+            up = find(parents["ctx"], low(ctx, k - 1))
+            lower = parents["n"][find(parents["gram"], low(code, k))].astype(np.float64)
+        own = {"gram": code, "n": n, "ctx": ctx, "total": np.add.reduceat(n, start) if len(n) else n, "kinds": np.diff(np.append(start, len(code)))}
+        own["rest_total"] = total[up] - (np.add.reduceat(lower, start) if len(n) else 0)
+        own["rest_kinds"] = kinds[up] - own["kinds"]
+        model[k] = parents = own
+        total, kinds = own["total"].astype(np.float64), own["kinds"]
+    return model
+
+
+def code_lengths(model: dict, code: np.ndarray) -> np.ndarray:
+    """log10 probabilities of (context, byte) codes; sorted codes are found fastest."""
+    out = np.zeros(len(code))
+    todo = np.arange(len(code))         # codes not yet settled
+    above = np.full(len(code), -1)      # the longer context escaped from, if any
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for k in range(DEPTH, 2, -1):
+            m, own = model[k], code[todo]
+            ctx = find(m["ctx"], low(own >> np.uint64(8), k))
+            has = ctx >= 0
+            gram = np.full(len(todo), -1)
+            gram[has] = find(m["gram"], low(own[has], k + 1))
+            if k < DEPTH:
+                up = model[k + 1]
+                fresh = above[todo] < 0
+                total = np.where(fresh, m["total"][ctx] if len(m["ctx"]) else 0, up["rest_total"][above[todo]] if len(up["ctx"]) else 0)
+                kinds = np.where(fresh, m["kinds"][ctx] if len(m["ctx"]) else 0, up["rest_kinds"][above[todo]] if len(up["ctx"]) else 0)
+            else:
+                total, kinds = (m["total"][ctx], m["kinds"][ctx]) if len(m["ctx"]) else (np.zeros(len(todo)), np.zeros(len(todo)))
+            hit = gram >= 0
+            out[todo[hit]] += np.log10(m["n"][gram[hit]] / (total[hit] + kinds[hit]))
+            miss = has & ~hit & (kinds > 0)
+            out[todo[miss]] += np.log10(kinds[miss] / (total[miss] + kinds[miss]))
+            above[todo] = ctx
+            todo = todo[~hit]
+        short, own = model["short"], code[todo]
+        row, byte = short["row"][low(own >> np.uint64(8), 2).astype(np.int64)], low(own, 1).astype(np.int64)
+        up = above[todo]
+        fresh = up < 0
+        out[todo[fresh]] += short["start"][row[fresh], byte[fresh]]
+        t, row, byte, up = todo[~fresh], row[~fresh], byte[~fresh], up[~fresh]
+        if len(t):  # a kept context of three bytes has its two-byte context
+            n = short["count"][row, byte]
+            total, kinds = model[3]["rest_total"][up], model[3]["rest_kinds"][up]
+            escape = np.where(kinds > 0, np.log10(kinds / (total + kinds)), 0.0)
+            out[t] += np.where(n > 0, np.log10(n / (total + kinds)), escape + short["tail"][row, byte])
+    return out
 
 
 def score_bytes(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    rows = row_index(model)
-    lp = model["flat"][rows[contexts_of(data, offsets)].astype(np.int64) * ROW + data]
-    total = np.concatenate([[0.0], np.cumsum(lp, dtype=np.float64)])
+    """Each text's sum; a code that is frequent in the batch is looked up once."""
+    code = grams_of(data, offsets)
+    order = np.argsort(code)
+    code = code[order]
+    start = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    lp = np.empty(len(code))
+    lp[order] = np.repeat(code_lengths(model, code[start]), np.diff(np.append(start, len(code))))
+    total = np.concatenate([[0.0], np.cumsum(lp)])
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
 def train_bytes(texts: DataFrame, share: int = SHARE) -> dict:
-    """The byte model. Only counts of kept contexts come to the driver (at most ``share`` contexts
-    of three bytes and 2^16 of two)."""
-    grams = cut(texts.mapInArrow(count_bytes, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")))
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    heavy = grams.groupBy(F.shiftright("code", 8).alias("ctx")).agg(F.sum("n").alias("m")).where(F.col("m") * share >= total).select("ctx")
-    kept = grams.join(F.broadcast(heavy), F.shiftright(grams["code"], 8) == heavy["ctx"], "left_semi")
-    lower = grams.groupBy(F.col("code").bitwiseAND(F.lit(0xFFFFFF)).alias("code")).agg(F.sum("n").alias("n"))
-    counts = []
-    for df in (kept, lower):
-        t = df.select("code", "n").toArrow()
-        code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
-        order = np.argsort(code)
-        counts.append((code[order], n[order]))
-    return code_lengths(*counts)
+    """The byte model. Only counts of kept contexts come to the driver."""
+    spark = texts.sparkSession
+    n = shuffle_partitions(spark)
+    taught = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT, F.lit(True))
+    total = texts.where(taught).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))))).first()[0] or 0
+    dealt = texts.select("doc_id", "text").mapInArrow(scatter_grams(n), "part int, payload binary").repartitionById(n, F.col("part"))
+    rows = dealt.select("payload").mapInArrow(count_grams(total, share), "depth int, payload binary").toArrow()
+    parts: dict[int, list] = {}
+    for depth, raw in zip(rows.column("depth").to_pylist(), rows.column("payload"), strict=True):
+        code, count = unpack(raw.as_py())
+        parts.setdefault(depth, []).append((np.cumsum(code, dtype=np.uint64), count))
+    return byte_model({k: summed(*(np.concatenate(x) for x in zip(*own, strict=True))) for k, own in parts.items()})
 
 
 def lm_scores(docs: DataFrame, share: int = SHARE) -> DataFrame:

@@ -145,28 +145,40 @@ def test_lm_base(make_docs, odd_rows):
     assert np.allclose([g[4] for g in got], [w[4] for w in want])
 
 
-def test_lm_probabilities_sum_to_one():
-    texts = [b"abracadabra abracad", b"the cat sat on the mat", b""]
+def small_model(texts, share=1 << 16):
     offsets = np.cumsum([0, *map(len, texts)])
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    code, n = np.unique((lm_score.contexts_of(data, offsets).astype(np.int64) << 8) | data, return_counts=True)
-    low, owner = np.unique(code & 0xFFFFFF, return_inverse=True)
-    model = lm_score.code_lengths((code, n), (low, np.bincount(owner, n)))
-    assert np.allclose((10.0 ** model["table"].astype(float)).sum(1), 1, atol=1e-4)
+    code, n = np.unique(lm_score.grams_of(np.frombuffer(b"".join(texts), np.uint8), offsets), return_counts=True)
+    grams = {}
+    for k in range(5, 1, -1):
+        code, n = lm_score.summed(lm_score.low(code, k + 1), n)
+        ctx = code >> np.uint64(8)
+        total = dict(zip(*lm_score.summed(ctx, n), strict=True))
+        kept = np.array([k == 2 or total[c] * share >= len(b"".join(texts)) for c in ctx], bool)
+        grams[k] = (code[kept], n[kept])
+    return lm_score.byte_model(grams)
+
+
+@pytest.mark.parametrize("share", [1 << 16, 8])
+def test_lm_probabilities_sum_to_one(share):
+    model = small_model([b"abracadabra abracad", b"the cat sat on the mat and the cat sat", b""], share)
+    for ctx in (b"\0\0\0\0\0", b"racad", b"e cat", b"zzcat", b"zzzat", b"zzzzt", b"zzzzz", b"the z"):
+        base = int.from_bytes(ctx, "big") << 8
+        code = np.arange(base, base + 256, dtype=np.uint64)
+        assert (10.0 ** lm_score.code_lengths(model, code)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def brute_ppm(train, text):
     """Escape C with exclusion, straight from the definition."""
     counts = {}
     for t in train:
-        t = b"\0\0\0" + t
-        for i in range(3, len(t)):
-            for k in range(4):
+        t = b"\0" * 5 + t
+        for i in range(5, len(t)):
+            for k in range(6):
                 counts.setdefault(t[i - k:i], Counter())[t[i]] += 1
-    total, t = 0.0, b"\0\0\0" + text
-    for i in range(3, len(t)):
+    total, t = 0.0, b"\0" * 5 + text
+    for i in range(5, len(t)):
         out = set()
-        for k in (3, 2, 1, 0):
+        for k in (5, 4, 3, 2, 1, 0):
             c = {s: n for s, n in counts.get(t[i - k:i], {}).items() if s not in out}
             if not c:
                 continue
