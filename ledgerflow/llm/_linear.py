@@ -27,9 +27,10 @@ def train(row: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, dims
     return w, float(b)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Logistic calibration on the columns of ``x`` (Newton steps, Platt's smoothed targets):
-    coefficients, the constant last. With one class only, its smoothed share."""
+def calibrate(x: np.ndarray, y: np.ndarray, prior: float = 0.5, steps: int = 60) -> np.ndarray:
+    """Logistic calibration on the columns of ``x`` (Newton steps, Platt's smoothed targets), as if
+    a share ``prior`` of all rows were positive: coefficients, the constant last. With one class
+    only, its smoothed share."""
     pos, neg = float((y > 0).sum()), float((y <= 0).sum())
     a = np.column_stack([x, np.ones(len(y))])
     coef = np.zeros(a.shape[1])
@@ -37,7 +38,7 @@ def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
         coef[-1] = np.log((pos + 1.0) / (neg + 1.0))
         return coef
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    share = np.where(y > 0, 0.5 / pos, 0.5 / neg)
+    share = np.where(y > 0, prior / pos, (1 - prior) / neg)
     for _ in range(steps):
         p = sigmoid(a @ coef)
         hess = (a * (share * p * (1 - p) + 1e-9)[:, None]).T @ a + 1e-6 * np.eye(a.shape[1])

@@ -76,6 +76,9 @@ class Compressors:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict:
     """Dictionaries of one half of the sample, calibration on the other."""
     rows = labelled_sample(docs, labels, per_class, fold_of() != HELD_OUT).select("text", "y").toArrow()
+    # the sample has as many rows of either class; all training labels say how likely each is
+    shares = labels.where((fold_of() != HELD_OUT) & F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
+    prior = min(0.99, max(0.01, 0.5 if shares is None else float(shares)))
     y = np.array(rows.column("y").to_pylist(), float)
     raw = [(t or "").encode() for t in rows.column("text").to_pylist()]
     if not len(y) or y.min() == y.max():
@@ -87,7 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict:
     good, bad = (build_dictionary([raw[i] for i in np.flatnonzero(half & (y == k))]) for k in (1, 0))
     held = np.flatnonzero(~half) if len(set(y[~half])) == 2 else np.arange(len(y))
     x = np.array([Compressors(good, bad).features(raw[i]) for i in held]) if good or bad else np.zeros((len(held), 2))
-    return {"good": good, "bad": bad, "cal": linear.calibrate(x, y[held])}
+    return {"good": good, "bad": bad, "cal": linear.calibrate(x, y[held], prior)}
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
