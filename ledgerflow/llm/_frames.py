@@ -24,6 +24,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+RANGE_BYTES = 32 << 20
+
+
+def ranges_for(texts: DataFrame, range_bytes: int = RANGE_BYTES) -> int:
+    """How many ranges of hashes to deal to: the session's shuffle partitions, or more when a range
+    would stand for over ``range_bytes`` of text, since a task holds the packed data of one range."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
+    return max(shuffle_partitions(texts.sparkSession), -(-size // range_bytes))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     have = {c.lower() for c in df.columns}

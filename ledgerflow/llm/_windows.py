@@ -13,8 +13,8 @@ with one anchor. So:
    of a range window by window.
 4. ``spans_by_document`` gathers what was found for each document.
 
-Ranges are as many as the session's shuffle partitions; texts are never grouped by content, and a
-passage that very many documents hold is spread over the ranges of its anchors."""
+Ranges are as many as the session's shuffle partitions, or more so that a task holds a bounded part
+(``ranges_for``); texts are never grouped by content, and a passage that very many documents hold is spread over the ranges of its anchors."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import _text as tx
-from ledgerflow.llm._frames import doc_texts, shuffle_partitions
+from ledgerflow.llm._frames import doc_texts, ranges_for
 from ledgerflow.llm._graph import cut
 from ledgerflow.llm._pack import pack, pack_sorted, unpack
 
@@ -346,9 +346,8 @@ def documents_with_spans(docs: DataFrame, spec: Windows, judge) -> DataFrame:
     """``doc_id, text, text_hash, cells``: documents with the spans (start, length in symbols, as
     uint32 pairs; null: none) covered by repeated windows. The texts are shuffled once, by document:
     both joins use the same exchange."""
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
     texts = keyed(docs)
+    parts = ranges_for(texts)
     dealt = texts.select("doc_id", "text", "text_hash").mapInArrow(scatter(spec, parts), "part int, payload binary")
     found = cut(dealt.repartitionById(parts, F.col("part")).mapInArrow(resolve(spec, parts), FOUND))
     asked = with_cells(texts, gathered(found, REQUEST, 4, parts), "inner")

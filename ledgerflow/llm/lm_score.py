@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import _text as tx
-from ledgerflow.llm._frames import doc_texts, shuffle_partitions
+from ledgerflow.llm._frames import doc_texts, ranges_for
 from ledgerflow.llm._graph import cut
 from ledgerflow.llm._pack import pack, pack_sorted, unpack
 
@@ -186,7 +186,7 @@ def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_base(texts: DataFrame) -> tuple[DataFrame, int, int, int]:
     """``key, text_hash, n_words, log_sum, n_known`` of every distinct row, then the number of
     training documents, of distinct trained words and of trained words."""
-    n = shuffle_partitions(texts.sparkSession)
+    n = ranges_for(texts)
     dealt = texts.mapInArrow(scatter_words(n), "kind int, bucket int, block bigint, a bigint, x binary, y binary, z binary")
     dealt = dealt.repartitionById(n, F.col("bucket"))
     ranges = cut(dealt.mapInArrow(count_words, "kind int, block bigint, a bigint, b bigint, x binary, y binary, z binary"))
@@ -424,8 +424,7 @@ def score_bytes(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
 
 def train_bytes(texts: DataFrame, share: int = SHARE) -> dict:
     """The byte model. Only counts of kept contexts come to the driver."""
-    spark = texts.sparkSession
-    n = shuffle_partitions(spark)
+    n = ranges_for(texts)
     taught = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT, F.lit(True))
     total = texts.where(taught).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))))).first()[0] or 0
     dealt = texts.select("doc_id", "text").mapInArrow(scatter_grams(n), "part int, payload binary").repartitionById(n, F.col("part"))
