@@ -85,8 +85,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, min_c
     with_text = texts.join(small(named, n_pairs * 40), same).drop("d", "th")
     shared = F.size(F.array_intersect(shingle_texts("words", k), F.col("shingles")))
     checked = with_text.withColumn("words", words_of(F.col("text"))).withColumn("n_shared", shared.cast("bigint"))
-    out = checked.select("doc_id", "text_hash", "item_id", F.col("n").cast("bigint").alias("n_item_shingles"), "n_shared",
-                         (F.col("n_shared") / F.col("n")).alias("containment"))
+    # written before the filter: pushed below, it would split the text anew for every shingle
+    out = cut(checked.select("doc_id", "text_hash", "item_id", F.col("n").cast("bigint").alias("n_item_shingles"), "n_shared",
+                             (F.col("n_shared") / F.col("n")).alias("containment")))
     return out.where(F.col("containment") >= min_containment).dropDuplicates(["doc_id", "text_hash", "item_id", "n_item_shingles"])
 
 
