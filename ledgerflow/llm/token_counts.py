@@ -32,7 +32,7 @@ PLAIN = r"[\t\n\r\x20-\x7e¡-¬®-ͷ΄-ΊΎ-ΡΣ-ԯ‐-‧‰-⁞₠-₿]*"
 MAX_TOKENS = 512     # over_limit beyond so many
 TABLE_SIZE = 50_000  # entries of the broadcast table
 LONGEST = 32         # characters of a pre-token that is kept in the table or a cache
-SAMPLE_DOCS = 2_000  # bound of the sample the table is fitted on
+SAMPLE_DOCS = 2_000  # size of the sample the table is fitted on
 CACHE_SIZE = 400_000 # entries of a worker's cache, which then starts anew
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
@@ -85,9 +85,11 @@ def encoder(shared: dict) -> Encoder:
 
 
 def frequent_pretokens(docs: DataFrame, content, sample_docs: int, table_size: int) -> dict[str, int]:
-    """The most frequent pre-tokens of a bounded sample (the documents with the lowest hash of
-    doc_id), and their lengths. Tasks count; only their most frequent come to the driver."""
-    sample = doc_texts(docs).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample_docs)
+    """The most frequent pre-tokens of a sample of about ``sample_docs`` documents (those whose
+    hash of doc_id falls below that share of all hashes), and their lengths."""
+    texts = doc_texts(docs)
+    share = min(1.0, sample_docs / max(1, texts.count()))
+    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, seen = encoder(content.value), Counter()
@@ -95,11 +97,18 @@ def frequent_pretokens(docs: DataFrame, content, sample_docs: int, table_size: i
             for text in batch.column("text").to_pylist():
                 if text and enc.by_parts(text):
                     seen.update(p for p in enc.split(text) if len(p) <= LONGEST)
-        top = [p for p, _ in seen.most_common(table_size)]
-        yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([enc.encode(p) for p in top], pa.int32())],
-                                         names=["part", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["part", "n"])
 
-    rows = sample.mapInArrow(tally, "part string, n int").limit(table_size).toArrow()
+    tallied = sample.mapInArrow(tally, "part string, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
+    top = tallied.orderBy(F.desc("n"), "part").limit(table_size).select("part")
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(content.value)
+        for batch in batches:
+            n = pa.array([enc.encode(p) for p in batch.column("part").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("part"), n], names=["part", "n"])
+
+    rows = top.mapInArrow(lengths, "part string, n int").toArrow()
     return dict(zip(rows.column("part").to_pylist(), rows.column("n").to_pylist(), strict=True))
 
 
