@@ -218,3 +218,46 @@ def test_log_stream_equals_batch(spark, tmp):
     batch = sorted(tuple(r) for r in incremental.tag_log_lines(spark.read.text(f"{tmp}/land")).collect())
     assert streamed == batch == sorted([("a @level@[ERROR] x", "error", "error"), ("plain", None, "info"),
                                         ("b @LEVEL@[Debug]", "debug", "debug")])
+
+
+def _pages(spark, path, pages):
+    import json
+    _write(f"{path}/p.json", "".join(json.dumps(p) + "\n" for p in pages))
+    return path
+
+
+def test_numbered_pages_must_be_whole(spark, tmp):
+    from ledgerflow.plans.register_delta import read_complete_pages
+
+    def page(k, rows, held=None):
+        return {"page": k, "total_pages": 2, "nombre": rows, "total": 4, "data": [{"id": 10 * k + i} for i in range(rows if held is None else held)]}
+
+    assert read_complete_pages(spark, _pages(spark, f"{tmp}/ok", [page(0, 2), page(1, 2)]), "id:bigint").count() == 4
+    for name, bad in {"twice": [page(0, 2), page(0, 2)], "short": [page(0, 2), page(1, 2, held=1)], "missing": [page(0, 2)],
+                      "again": [page(0, 2), page(1, 2), page(1, 2)]}.items():
+        with pytest.raises(ValueError, match="incomplete"):
+            read_complete_pages(spark, _pages(spark, f"{tmp}/{name}", bad), "id:bigint")
+
+
+def test_cursor_pages_must_be_one_chain(spark, tmp):
+    from ledgerflow.plans.register_delta import read_cursor_pages
+
+    def page(own, nxt, rows, total=5):
+        return {"header": {"total": total, "nombre": rows, "curseur": own, "curseurSuivant": nxt}, "etablissements": [{"siret": i} for i in range(rows)]}
+
+    assert read_cursor_pages(spark, _pages(spark, f"{tmp}/ok", [page("a", "b", 2), page("b", "c", 2), page("c", "c", 1)])).count() == 5
+    assert read_cursor_pages(spark, _pages(spark, f"{tmp}/one", [page("a", "a", 5)])).count() == 5
+    for name, bad in {"twice for another": [page("a", "b", 2), page("a", "b", 2), page("c", "c", 1)], "gap": [page("a", "b", 4), page("c", "c", 1)],
+                      "short": [page("a", "b", 2), page("b", "b", 2)], "no end": [page("a", "b", 2), page("b", "a", 3)]}.items():
+        with pytest.raises(ValueError, match="incomplete"):
+            read_cursor_pages(spark, _pages(spark, f"{tmp}/{name}", bad))
+
+
+def test_array_pages_end_with_one_that_is_not_full(spark, tmp):
+    _write(f"{tmp}/ok/p.txt", '[{"a":1},{"a":2}]\n[{"a":3}]\n')
+    _write(f"{tmp}/empty/p.txt", '[{"a":1},{"a":2}]\n[]\n')
+    _write(f"{tmp}/cut/p.txt", '[{"a":1},{"a":2}]\n[{"a":3},{"a":4}]\n')
+    files.check_short_page(spark, f"{tmp}/ok", 2)
+    files.check_short_page(spark, f"{tmp}/empty", 2)
+    with pytest.raises(ValueError, match="incomplete"):
+        files.check_short_page(spark, f"{tmp}/cut", 2)
