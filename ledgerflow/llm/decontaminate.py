@@ -78,11 +78,14 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, min_c
     probes = hashed(texts, k).select("doc_id", "text_hash", F.explode(F.filter("hashes", lambda h: h <= top)).alias("h"))
     found = probes.join(small(sketch, head["n"]), "h").select("doc_id", "text_hash", "item").distinct()
     pairs = cut(found)
-    n_pairs, n_items = pairs.count(), items.count()
-
-    named = pairs.toDF("d", "th", "item").join(small(items.drop("hashes"), n_items * 40), "item")
-    same = texts["doc_id"].eqNullSafe(named["d"]) & (texts["text_hash"] == named["th"])
-    with_text = texts.join(small(named, n_pairs * 40), same).drop("d", "th")
+    n_pairs, n_shingles = pairs.count(), items.agg(F.sum("n")).first()[0] or 0
+
+    # a document comes with the numbers of its items (at most all items); the items' shingles, which
+    # don't grow with the documents, join afterwards
+    asked = pairs.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("th")).agg(F.collect_list("item").alias("asked"))
+    same = texts["doc_id"].eqNullSafe(asked["d"]) & (texts["text_hash"] == asked["th"])
+    with_text = texts.join(small(asked, n_pairs), same).select("doc_id", "text_hash", "text", F.explode("asked").alias("item"))
+    with_text = with_text.join(small(items.drop("hashes"), n_shingles), "item")
     shared = F.size(F.array_intersect(shingle_texts("words", k), F.col("shingles")))
     checked = with_text.withColumn("words", words_of(F.col("text"))).withColumn("n_shared", shared.cast("bigint"))
     # written before the filter: pushed below, it would split the text anew for every shingle
