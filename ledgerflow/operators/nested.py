@@ -63,7 +63,7 @@ def ordered_chunks(df: DataFrame, group: Sequence[str], order: Sequence[str], it
                      *[e for i, c in enumerate(order_cols) for e in (c.isNull().alias(f"_null{i}"), c.alias(f"_o{i}"))],
                      F.to_json(F.struct(*item_cols)).alias("_tie"))
     keys = [k for i in range(len(order_cols)) for k in (f"_null{i}", f"_o{i}")]
-    numbered = grouped_row_index(slim, group, [*keys, "_tie"], start=0, name="_rn")
+    numbered = grouped_row_index(slim, group, keys, start=0, name="_rn", ties=["_tie"])
     numbered = numbered.withColumn("chunk", F.floor(F.col("_rn") / F.lit(chunk_items)).cast("bigint"))
     agg = numbered.groupBy(*group, "chunk").agg(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col("_item")))).alias("_l"))
     return agg.select(*group, "chunk", F.transform("_l", lambda x: x["_item"]).alias(name))

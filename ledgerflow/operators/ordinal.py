@@ -108,13 +108,13 @@ def row_index(df: DataFrame, order: Sequence[str | Column], start: int = 1, name
 
 
 def grouped_row_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], start: int = 1,
-                      name: str = "row_idx", num_partitions: int | None = None) -> DataFrame:
+                      name: str = "row_idx", num_partitions: int | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Row numbers restarting at ``start`` in every group, without a task per group: a hot group is
     split over several ranges. Only a group that a range begins in the middle of needs an offset, so
-    there are fewer of those than ranges. One shuffle."""
+    there are fewer of those than ranges. One shuffle. ``ties`` are ordered by too, inside a range."""
     df, names, extra = _named(df, order)
     ranges = ranges_of(df, [*group, *names], num_partitions)
-    where = Window.partitionBy("_range", *group).orderBy(*names)
+    where = Window.partitionBy("_range", *group).orderBy(*names, *ties)
     numbered = df.withColumn("_range", ranges.number).withColumn(name, F.row_number().over(where).cast("bigint") + (start - 1))
     if not ranges.bounds:
         return numbered.drop("_range", *extra)
