@@ -10,8 +10,10 @@
 * Blocks: a source's documents, in the order of a seeded hash, are one stream of words, cut into
   blocks of equal size, repeated for each epoch. Slots and documents are joined on (source, block).
 
-The schedule has at least 2^16 slots and 2^10 for each source, so targets are met to about a
-thousandth, whatever the corpus' size. No step needs a source whole: ranks are prefix sums over
+The schedule has at least 2^16 slots and 2^10 for each source. A source whose target is under 2^10
+of the common blocks would get too few slots, or none; it has blocks of its own instead, a 2^10th of
+its target each, and the last is cut where the target is met. So every source meets its target to
+about a thousandth, or to a word, whatever the corpus' size. No step needs a source whole: ranks are prefix sums over
 chunks of the schedule and streams are prefix sums over 4096 hash cells of a source.
 
 Defined results: a null text has size 0 and is never taken; a null source is a source of its own
@@ -112,20 +114,26 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: i
     total, n_sources = (head["total"], head["n_sources"]) if head else (0, 0)
     block = max(1, total // max(LEAST_SLOTS, SOURCE_SLOTS * n_sources))
     slots = -(-total // block)
-    facts = sources.select(F.col("source").alias("of_source"), "s", "source_size", "target")
+    fine = (F.col("target") < SOURCE_SLOTS * block) if block > 1 else F.lit(False)
+    sources = sources.withColumns({
+        "fine": fine, "block": F.when(fine, F.greatest(F.lit(1), F.floor(F.col("target") / SOURCE_SLOTS))).otherwise(block).cast("bigint"),
+        "quota": F.when(fine, F.floor(F.col("target") + 0.5)).otherwise(max_epochs * F.col("source_size")).cast("bigint")})
+    facts = sources.select(F.col("source").alias("of_source"), "s", "source_size", "target", "block", "quota")
     facts = F.broadcast(facts) if n_sources <= SMALL_SOURCES else facts
     known = sizes.join(facts, sizes["source"].eqNullSafe(facts["of_source"]) if n_sources <= SMALL_SOURCES
                        else (F.coalesce(sizes["source"], F.lit("")) == F.coalesce(facts["of_source"], F.lit(""))) & sizes["source"].eqNullSafe(facts["of_source"])).drop("of_source")
     known = cut(known)
     keys = ["doc_id", "source", "size", "s", "source_size", "target"]
-    plan = schedule(sources, slots).select(F.col("s").alias("slot_s"), F.col("block").alias("slot_block"))
+    own_slots = sources.where("fine and quota > 0").select("s", F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / F.col("block")))).alias("block"))
+    plan = schedule(sources.where(~F.col("fine")), slots).unionAll(own_slots).select(F.col("s").alias("slot_s"), F.col("block").alias("slot_block"))
     placed = cut(streams(known.where("size > 0"), seed))
     # a document's words in each epoch, by the blocks they lie in
-    epochs = placed.select(*keys, "at", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))).alias("epoch"))
-    epochs = epochs.withColumn("x", F.col("at") + F.col("epoch") * F.col("source_size"))
-    pieces = epochs.select(*keys, "at", "x", F.explode(F.sequence(F.floor(F.col("x") / block), F.floor((F.col("x") + F.col("size") - 1) / block))).alias("b"))
+    epochs = placed.select(*keys, "block", "quota", "at", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))).alias("epoch"))
+    epochs = epochs.withColumn("x", F.col("at") + F.col("epoch") * F.col("source_size")).where("x < quota")
+    epochs = epochs.withColumn("end", F.least(F.col("x") + F.col("size"), "quota"))
+    pieces = epochs.select(*keys, "block", "at", "x", "end", F.explode(F.sequence(F.floor(F.col("x") / F.col("block")), F.floor((F.col("end") - 1) / F.col("block")))).alias("b"))
     took = pieces.join(plan, (pieces["s"] == plan["slot_s"]) & (pieces["b"] == plan["slot_block"]))
-    overlap = F.least(F.col("x") + F.col("size"), (F.col("b") + 1) * block) - F.greatest("x", F.col("b") * block)
+    overlap = F.least("end", (F.col("b") + 1) * F.col("block")) - F.greatest("x", F.col("b") * F.col("block"))
     took = took.withColumn("overlap", overlap).groupBy(F.col("s").alias("took_s"), F.col("at").alias("took_at")).agg(F.sum("overlap").alias("taken"))
     out = placed.join(took, (placed["s"] == took["took_s"]) & (placed["at"] == took["took_at"]), "left")
     cols = [*keys, F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")]

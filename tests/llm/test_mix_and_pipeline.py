@@ -96,6 +96,19 @@ def test_mix(make_docs):
     assert Counter(tuple(r[c] for c in key) for r in got) == Counter(tuple(r[c] for c in key) for r in again)
 
 
+def test_tiny_sources_beside_a_large_one(make_docs):
+    rows = [(i, "w " * 50_000, ("big", "vast")[i % 2]) for i in range(80)]
+    rows += [(1000 + 10 * k + i, "w " * (k + 1), f"tiny{k}") for k in range(12) for i in range(5)] + [(5000 + i, "w " * 700, "small") for i in range(9)]
+    sizes, took = Counter(), Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t) // 2
+    for r in mixing.mix_sources(make_docs(rows)).collect():
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        took[r["source"]] += r["taken"]
+    for s, want in targets(sizes).items():
+        assert took[s] == pytest.approx(want, rel=0.002, abs=1), s
+
+
 def test_mix_of_no_words(make_docs):
     assert mixing.mix_sources(make_docs([])).count() == 0
     assert [r["taken"] for r in mixing.mix_sources(make_docs([(1, None, "a"), (2, " ", None)])).collect()] == [0, 0]
