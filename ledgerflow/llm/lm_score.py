@@ -1,15 +1,14 @@
 """LM scoring (operator 6): prediction by partial matching over bytes, pretrained on the corpus.
 
-* Trie: counts of every byte after its last five bytes, over all training documents; a task's
-  distinct codes are dealt by the nearest three bytes, so one range has all that contexts of three to
-  five bytes need, and orders 2, 1 and 0 are sums. A context of three bytes or more is kept when it
-  holds a share of at least 2^-16 of the training bytes, so at most 2^16 of each length are; all
-  shorter contexts are kept, and a context's followers are kept whole.
+* Trie: counts of every byte after its last five bytes, over all training documents. Every context
+  is kept, and nothing of three bytes or more is collected or broadcast. Documents are dealt to
+  blocks by their hash; a block deals its distinct codes by the nearest three bytes, so one range
+  has all that contexts of three to five bytes need, and gives each block the code lengths of the
+  block's codes back. Counts of two bytes and shorter (at most 2^24) are broadcast.
 * Coding: escape estimation by method C (an escape counts as often as the context has distinct
   followers) with symbol exclusion: after an escape the followers of the longer context are out of
-  the shorter one's counts; below order 0 the bytes left are equally likely. The kept trie is
-  broadcast as sorted arrays (bounded by its contexts; a few MB). A document's score is the sum over
-  its bytes; a batch looks each of its distinct codes up once.
+  the shorter one's counts; below order 0 the bytes left are equally likely. A document's score is
+  the sum over its bytes; each distinct code of a range is looked up once.
 * Word base: a block of documents (a map task's stretch) sorts its words' hashes and deals them to
   ranges of the hash, with the documents that hold them; a range sums the training counts over all
   blocks and returns each block's partial sums. A word in every document is one entry in a block.
@@ -36,7 +35,7 @@ from ledgerflow.llm._pack import pack, pack_sorted, unpack
 
 FOLDS, HELD_OUT = 7, 2   # rows whose crc32(doc_id as text) mod 7 is 2 teach nothing
 DEPTH = 5                # bytes of the longest context
-SHARE = 1 << 16          # a context of three or more bytes is kept with at least 1 / SHARE of all bytes
+BLOCK_BYTES = 8 << 20    # text of a block of the byte model, about
 BLOCK_WORDS = 3_000_000  # words (or BLOCK_DOCS documents) of a block
 BLOCK_DOCS = 60_000
 ROW = 256
@@ -226,69 +225,94 @@ def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code[start], np.add.reduceat(n, start) if len(code) else n
 
 
-def scatter_grams(ranges: int):
-    """Distinct codes of a task's training texts with their counts, dealt by the nearest three bytes
-    of the context: a range has all counts of such contexts and of the longer ones that end so."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts, held = [], [], 0
+def range_of(code: np.ndarray, ranges: int) -> np.ndarray:
+    """A code's range: that of the nearest three bytes of its context."""
+    return (tx.mix(low(code >> np.uint64(8), 3)) % np.uint64(ranges)).astype(np.int64)
 
-        def flush() -> pa.RecordBatch:
-            code, n = summed(np.concatenate(codes), np.concatenate(counts))
-            part = (tx.mix(low(code >> np.uint64(8), 3)) % np.uint64(ranges)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            edge = np.searchsorted(part[order], np.arange(ranges + 1))
-            parts = np.flatnonzero(np.diff(edge))
-            payloads = [pack(pack_sorted(code[order[edge[r]:edge[r + 1]]]), n[order[edge[r]:edge[r + 1]]].astype(np.uint32)) for r in parts]
-            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())], names=["part", "payload"])
 
-        for batch in batches:
-            train = ~held_out(batch.column("doc_id").to_pylist())
-            code = np.sort(grams_of(*tx.utf8(batch.filter(pa.array(train)).column("text"))))
-            start = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-            codes.append(code[start])
-            counts.append(np.diff(np.append(start, len(code))))
-            held += len(start)
-            if held > 3_000_000:
-                code, n = summed(np.concatenate(codes), np.concatenate(counts))
-                codes, counts, held = [code], [n], len(code)
-                if held > 1_500_000:
-                    yield flush()
-                    codes, counts, held = [], [], 0
-        if held:
-            yield flush()
+def texts_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return tx.utf8(table["text"].combine_chunks())
+
+
+def scatter_codes(ranges: int):
+    """One block -> for each range the block's distinct codes and their counts in training texts (0
+    for codes that only held-out texts have)."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        train = ~held_out(table["doc_id"].to_pylist())
+        code, taught = zip(*[np.unique(grams_of(*texts_of(table.filter(pa.array(which)))), return_counts=True) for which in (train, ~train)], strict=True)
+        code, n = summed(np.concatenate(code), np.concatenate([taught[0], np.zeros_like(taught[1])]))
+        part = range_of(code, ranges)
+        order = np.argsort(part, kind="stable")
+        edge = np.searchsorted(part[order], np.arange(ranges + 1))
+        code, n, parts = code[order], n[order].astype(np.uint32), np.flatnonzero(np.diff(edge))
+        payloads = [pack(pack_sorted(code[edge[r]:edge[r + 1]]), n[edge[r]:edge[r + 1]]) for r in parts]
+        return pa.table([pa.array(parts, pa.int32()), pa.array([key[0].as_py()] * len(parts), pa.int64()), pa.array(payloads, pa.binary())],
+                        names=["part", "block", "payload"])
 
     return run
 
 
-def count_grams(total: int, share: int):
-    """One range: for contexts of five, four and three bytes the followers' counts of those kept, for
-    two bytes partial sums (``depth``, packed codes and counts)."""
+def score_codes(short):
+    """One range: its whole trie, then for each block the code lengths of the block's codes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = [], []
+        rows, codes, counts = [], [], []
         for batch in batches:
-            for raw in batch.column("payload"):
-                code, n = unpack(raw.as_py())
+            for r in batch.to_pylist():
+                rows.append((r["part"], r["block"], r["payload"]))
+                code, n = unpack(r["payload"])
                 codes.append(np.cumsum(code, dtype=np.uint64))
                 counts.append(n.astype(np.int64))
-            if len(codes) > 64:
-                code, n = summed(np.concatenate(codes), np.concatenate(counts))
-                codes, counts = [code], [n]
-        if not codes:
+                if len(codes) > 64:
+                    code, n = summed(np.concatenate(codes), np.concatenate(counts))
+                    codes, counts = [code], [n]
+        if not rows:
             return
-        code, n = summed(np.concatenate(codes), np.concatenate(counts))
-        depths, payloads = [], []
-        for k in range(DEPTH, 1, -1):
+        every, n = summed(np.concatenate(codes), np.concatenate(counts))
+        # a partition can hold several ranges; no context is in two of them
+        code, n, grams = every[n > 0], n[n > 0], {}
+        for k in range(DEPTH, 2, -1):
             code, n = summed(low(code, k + 1), n) if k < DEPTH else (code, n)
-            ctx = code >> np.uint64(8)
-            start = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
-            kept = np.repeat(np.add.reduceat(n, start) * share >= total, np.diff(np.append(start, len(ctx)))) if k > 2 else np.ones(len(code), bool)
-            depths.append(k)
-            payloads.append(pack(pack_sorted(code[kept]), n[kept]))
-        yield pa.RecordBatch.from_arrays([pa.array(depths, pa.int32()), pa.array(payloads, pa.binary())], names=["depth", "payload"])
+            grams[k] = (code, n)
+        lp = code_lengths(byte_model(grams, short.value), every).astype(np.float32)
+        for lo in range(0, len(rows), 64):
+            part, block, payload = zip(*rows[lo:lo + 64], strict=True)
+            found = [pack(lp[np.searchsorted(every, np.cumsum(unpack(raw)[0], dtype=np.uint64))]) for raw in payload]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(block, pa.int64()), pa.array(found, pa.binary())],
+                                             names=["part", "block", "payload"])
+
+    return run
+
+
+def sum_codes(ranges: int):
+    """One block's documents and the code lengths of its codes -> each document's sum."""
+    def run(found: pa.Table, table: pa.Table) -> pa.Table:
+        data, offsets = texts_of(table)
+        code, back = np.unique(grams_of(data, offsets), return_inverse=True)
+        rows = sorted(found.select(["part", "payload"]).to_pylist(), key=lambda r: r["part"])
+        lp = np.zeros(len(code))
+        if rows:
+            lp[np.argsort(range_of(code, ranges), kind="stable")] = np.concatenate([unpack(r["payload"])[0] for r in rows])
+        total = np.concatenate([[0.0], np.cumsum(lp[back])])
+        ids = table["doc_id"].combine_chunks()
+        return pa.table([ids, table["text_hash"].combine_chunks(), pa.array(held_out(ids.to_pylist())), pa.array(total[offsets[1:]] - total[offsets[:-1]])],
+                        names=["doc_id", "text_hash", "held_out", "score"])
 
     return run
 
 
+def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the codes of two-byte contexts in a task's training texts."""
+    counts = np.zeros(1 << 24, np.int64)
+    for batch in batches:
+        train = ~held_out(batch.column("doc_id").to_pylist())
+        code = low(grams_of(*tx.utf8(batch.filter(pa.array(train)).column("text"))), 3)
+        counts += np.bincount(code.astype(np.int64), minlength=len(counts))
+    code = np.flatnonzero(counts)
+    for lo in range(0, len(code), 1 << 16):
+        own = code[lo:lo + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(counts[own])], names=["code", "n"])
+
+
 def dense(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Contexts (sorted) and their 256 followers' counts, from sorted (context, byte) codes."""
     ctx, row = np.unique(code >> np.uint64(8), return_inverse=True)
@@ -344,12 +368,12 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def byte_model(grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict:
-    """The trie as sorted arrays. For each depth from three bytes up: the followers (``gram``,
+def byte_model(grams: dict[int, tuple[np.ndarray, np.ndarray]], short: dict | None = None) -> dict:
+    """The trie as sorted arrays (``short``: of contexts up to two bytes, when already made). For each depth from three bytes up: the followers (``gram``,
     ``n``), the contexts (``ctx``), their ``total`` and ``kinds``; and, for what comes after an escape
     from them, the shorter context's ``rest_total`` and ``rest_kinds`` without their followers."""
     empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    model = {"short": short_contexts(*grams.get(2, empty))}
+    model = {"short": short_contexts(*grams.get(2, empty)) if short is None else short}
     count2 = model["short"]["count"]
     total, kinds, parents = count2.sum(1, dtype=np.float64), (count2 > 0).sum(1), None
     for k in range(3, DEPTH + 1):
@@ -410,47 +434,31 @@ def code_lengths(model: dict, code: np.ndarray) -> np.ndarray:
     return out
 
 
-def score_bytes(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Each text's sum; a code that is frequent in the batch is looked up once."""
-    code = grams_of(data, offsets)
-    order = np.argsort(code)
-    code = code[order]
-    start = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-    lp = np.empty(len(code))
-    lp[order] = np.repeat(code_lengths(model, code[start]), np.diff(np.append(start, len(code))))
-    total = np.concatenate([[0.0], np.cumsum(lp)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+def short_model(texts: DataFrame) -> dict:
+    """Contexts of two bytes and shorter, from all training documents."""
+    rows = texts.select("doc_id", "text").mapInArrow(count_trigrams, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return short_contexts(*summed(rows["code"].to_numpy().astype(np.uint64), rows["n"].to_numpy()))
 
 
-def train_bytes(texts: DataFrame, share: int = SHARE) -> dict:
-    """The byte model. Only counts of kept contexts come to the driver."""
+def byte_scores(texts: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, held_out, score`` of every document. A block is known by its documents'
+    hashes and its codes by their order, so it is the same block each time it is made."""
     n = ranges_for(texts)
-    taught = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT, F.lit(True))
-    total = texts.where(taught).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))))).first()[0] or 0
-    dealt = texts.select("doc_id", "text").mapInArrow(scatter_grams(n), "part int, payload binary").repartitionById(n, F.col("part"))
-    rows = dealt.select("payload").mapInArrow(count_grams(total, share), "depth int, payload binary").toArrow()
-    parts: dict[int, list] = {}
-    for depth, raw in zip(rows.column("depth").to_pylist(), rows.column("payload"), strict=True):
-        code, count = unpack(raw.as_py())
-        parts.setdefault(depth, []).append((np.cumsum(code, dtype=np.uint64), count))
-    return byte_model({k: summed(*(np.concatenate(x) for x in zip(*own, strict=True))) for k, own in parts.items()})
-
-
-def lm_scores(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    n_blocks = -(-size // BLOCK_BYTES) or 1
+    short = texts.sparkSession.sparkContext.broadcast(short_model(texts))
+    blocks = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(n_blocks))).repartition(n, "block")
+    dealt = blocks.groupBy("block").applyInArrow(scatter_codes(n), "part int, block bigint, payload binary").repartitionById(n, F.col("part"))
+    found = dealt.mapInArrow(score_codes(short), "part int, block bigint, payload binary").repartition(n, "block")
+    return found.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(
+        sum_codes(n), "doc_id bigint, text_hash bigint, held_out boolean, score double")
+
+
+def lm_scores(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document."""
-    spark = docs.sparkSession
     texts = doc_texts(docs).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     base, trained, distinct, places = word_base(texts)
-    model = spark.sparkContext.broadcast(train_bytes(texts, share))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lp = score_bytes(model.value, *tx.utf8(batch.column("text")))
-            held = held_out(batch.column("doc_id").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(held), pa.array(lp)],
-                                             names=["doc_id", "text_hash", "held_out", "score"])
-
-    scored = texts.mapInArrow(score, "doc_id bigint, text_hash bigint, held_out boolean, score double")
+    scored = byte_scores(texts)
     named = base.withColumnRenamed("text_hash", "base_hash")
     both = scored.join(named, (F.coalesce(scored["doc_id"], F.lit(LAST)) == named["key"]) & (scored["text_hash"] == named["base_hash"]))
     n_train = places + trained                       # each training document ends once

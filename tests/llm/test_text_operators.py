@@ -201,5 +201,18 @@ def test_lm_scores_are_ppm(make_docs):
         assert got[i] == pytest.approx(brute_ppm(train, (t or "").encode()), abs=1e-3)
 
 
+def test_lm_rare_contexts_count(make_docs):
+    """A context that two documents of many have is as good a context as any."""
+    words = ["lorem", "ipsum", "dolor", "amet", "elit", "sed"]
+    rows = [(i, " ".join(words[(i * j + j // 7) % 6] for j in range(600))) for i in range(60)]
+    rare = ["jumbly vex dwarf", "quick zyzzyva fog", "pyx hock blitz", "nth cwm fjord bank", "glyph vext quiz"]
+    rows += [(1000 + i, rare[i % 5]) for i in range(10)]
+    train = [t.encode() for i, t in rows if crc32(str(i).encode()) % 7 != 2]
+    assert sum(map(len, train)) > 2 << 16
+    got = {r["doc_id"]: r["score"] for r in rows_of(lm_score.lm_scores(make_docs(rows)))}
+    for i, t in rows[58:]:
+        assert got[i] == pytest.approx(brute_ppm(train, t.encode()), abs=1e-3)
+
+
 def test_lm_of_no_rows(make_docs):
     assert lm_score.lm_scores(make_docs([])).count() == 0
