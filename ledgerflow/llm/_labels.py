@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from ledgerflow.llm._frames import doc_texts
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, where: Column | None = None) -> DataFrame:
-    """``doc_id, text, y``: for each class (1: quality 1, 0: quality 0) at most ``per_class`` rows,
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, where: Column | None = None,
+                    label: str = "quality") -> DataFrame:
+    """``doc_id, text, y``: for each class (``label`` 1 and 0) at most ``per_class`` rows,
     those with the lowest hash of doc_id. Labels that are null or neither 0 nor 1, or that have no
     document, teach nothing. Two bounded lists of ids are broadcast (``per_class`` longs each)."""
-    lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y"))
+    lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
     if where is not None:
         lab = lab.where(where)
     texts, parts = doc_texts(docs), []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import decontaminate, line_dedup, mixing
+from ledgerflow.llm import centroids, decontaminate, line_dedup, mixing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,9 +65,24 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerflow.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerflow.llm.turn_repair import repair_conversations
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: list[QueryFn] = [op1_token_counts, op2_suffix_dedup, op3_line_dedup, op4_quality_rules, op5_quality_classifier, op6_lm_score,
-                          op7_decontamination, op8_substring_dedup, op9_simhash_dedup, op10_source_mix]
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontaminate.ORACLE, "op10_source_mix": mixing.ORACLE}
+                          op7_decontamination, op8_substring_dedup, op9_simhash_dedup, op10_source_mix, op11_toxicity, op12_centroid_clusters, op13_turn_repair]
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontaminate.ORACLE, "op10_source_mix": mixing.ORACLE,
+                              "op12_centroid_clusters": centroids.ORACLE}
 
 
 def queries() -> dict[str, QueryFn]:
