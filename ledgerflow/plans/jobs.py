@@ -18,7 +18,7 @@ from ledgerflow.functions.scalar import first_non_null, format_ts, full_name, pa
 from ledgerflow.operators.checks import assert_required, assert_unique
 from ledgerflow.operators.enrich import batch_enrich
 from ledgerflow.operators.filters import DatasetSpec, fan_out, missing_position_with_address
-from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_left, overlay_rows, replace_children, upsert
+from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_left, overlay_rows
 from ledgerflow.operators.nested import explode_children, join_text
 from ledgerflow.operators.ordinal import row_index
 from ledgerflow.operators.reshape import align_columns, blank_nulls, rename_columns
@@ -27,6 +27,7 @@ from ledgerflow.plans.catalog import register
 from ledgerflow.plans.geocoding import normalise_address
 from ledgerflow.plans.snapshots import archive_bytes, csv_text, land_file, write_csv_file
 from ledgerflow.session import scratch_path, ship_with_tasks
+from ledgerflow.sinks.keyed import KeyedStore, Transaction
 from ledgerflow.sinks.writers import export_by_bucket, export_parquet, publish, publish_csv, read_published, truncate_load
 from ledgerflow.sources.archives import parse_member_csv, read_archive_lines
 from ledgerflow.sources.files import read_snapshot_csv, read_string_csv
@@ -140,20 +141,27 @@ def job_ticket_report_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- site increment --------------------------------------------------------------------------
 
-def site_increment(records: DataFrame, sites: DataFrame, children: DataFrame, key: str, children_field: str, rename: Mapping[str, str],
-                   child_rename: Mapping[str, str], update_columns: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
+def site_increment(store: KeyedStore, records: DataFrame, sites: str, children: str, key: str, children_field: str, rename: Mapping[str, str],
+                   child_rename: Mapping[str, str], update_columns: Sequence[str]) -> int | None:
     """One pull of changed sites, read once: sites are upserted, the children of every delivered site
-    that has any are replaced. None when nothing was delivered (nothing is to be written then)."""
+    that has any are replaced, and both become visible in one commit, whose number is returned. None
+    when nothing was delivered (nothing is written then)."""
     records = records.persist(StorageLevel.MEMORY_AND_DISK)
-    if records.isEmpty():
+    try:
+        if records.isEmpty():
+            return None
+        table = store.read(sites)
+        types = {f.name: f.dataType.simpleString() for f in table.schema.fields}
+        delivered = align_columns(rename_columns(records.drop(children_field), rename), types).select(*table.columns)
+        new = explode_children(records.select(key, children_field), key, children_field, child_rename).withColumnRenamed(key, rename.get(key, key))
+
+        def work(txn: Transaction) -> None:
+            txn.upsert(sites, delivered, update_columns)
+            txn.replace_children(children, new)
+
+        return store.run(work)
+    finally:
         records.unpersist()
-        return None
-    types = {f.name: f.dataType.simpleString() for f in sites.schema.fields}
-    delivered = align_columns(rename_columns(records.drop(children_field), rename), types).select(*sites.columns)
-    merged = upsert(sites, delivered, rename.get(key, key), update_columns)
-    new = explode_children(records.select(key, children_field), key, children_field, child_rename)
-    new = new.withColumnRenamed(key, rename.get(key, key)).select(*children.columns)
-    return merged, replace_children(children, new, rename.get(key, key))
 
 
 @register("job_site_increment", """
@@ -177,17 +185,22 @@ def job_site_increment_q(spark: SparkSession, sf: str) -> DataFrame:
     records = s.where("s_suppkey % 4 = 0").select(F.col("s_suppkey").alias("codeAIOT"), F.concat(F.upper("s_name"), F.lit("!")).alias("raisonSociale"),
                                                   (F.col("s_nationkey") + 100).alias("codeNaf")).join(lists, "codeAIOT", "left")
     rename = {"codeAIOT": "code_aiot", "raisonSociale": "raison_sociale", "codeNaf": "code_naf"}
-    args = ("codeAIOT", "rubriques", rename, {"numeroRubrique": "rubrique", "quantiteTotale": "quantite_totale"}, ["raison_sociale"])
-    if site_increment(records.where("false"), sites, children, *args) is not None:
+    args = ("sites", "children", "codeAIOT", "rubriques", rename, {"numeroRubrique": "rubrique", "quantiteTotale": "quantite_totale"}, ["raison_sociale"])
+    store = KeyedStore(spark, scratch_path(spark, "site_increment"))
+
+    def first_load(txn: Transaction) -> None:
+        txn.create("sites", sites, "code_aiot", 16)
+        txn.create("children", children, "code_aiot", 16)
+
+    store.run(first_load)
+    if site_increment(store, records.where("false"), *args) is not None:
         raise AssertionError("an empty delivery must write nothing")
-    merged, replaced = site_increment(records, sites, children, *args)
-    root = scratch_path(spark, "site_increment")
-    publish(merged, f"{root}/sites", "v=1")
-    publish(replaced, f"{root}/children", "v=1")
-    a = read_published(spark, f"{root}/sites").select(F.lit("site").alias("kind"), "code_aiot", F.col("raison_sociale").alias("label"),
-                                                      F.col("code_naf").cast("bigint").alias("number"), F.lit(None).cast("double").alias("quantity"))
-    b = read_published(spark, f"{root}/children").select(F.lit("child").alias("kind"), "code_aiot", F.lit(None).cast("string").alias("label"),
-                                                         F.col("rubrique").cast("bigint").alias("number"), F.col("quantite_totale").cast("double").alias("quantity"))
+    site_increment(store, records, *args)
+    now = store.snapshot()
+    a = store.read("sites", now).select(F.lit("site").alias("kind"), "code_aiot", F.col("raison_sociale").alias("label"),
+                                        F.col("code_naf").cast("bigint").alias("number"), F.lit(None).cast("double").alias("quantity"))
+    b = store.read("children", now).select(F.lit("child").alias("kind"), "code_aiot", F.lit(None).cast("string").alias("label"),
+                                           F.col("rubrique").cast("bigint").alias("number"), F.col("quantite_totale").cast("double").alias("quantity"))
     return a.unionByName(b)
 
 

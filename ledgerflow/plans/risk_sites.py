@@ -13,9 +13,10 @@ from ledgerflow.operators.nested import explode_children
 from ledgerflow.operators.reshape import align_columns, drop_falsy, rename_columns, select_columns
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
-from ledgerflow.sinks.writers import SchemaMismatch, append_checked, publish, read_published
+from ledgerflow.sinks.keyed import KeyedStore
+from ledgerflow.sinks.writers import SchemaMismatch, append_checked
 from ledgerflow.sources.tables import read_table
-from ledgerflow.streaming.incremental import run_upsert_stream
+from ledgerflow.streaming.incremental import run_keyed_stream
 
 # ---------------------------------------------------------------------------------------------
 # rename_align
@@ -195,18 +196,42 @@ LEFT JOIN first_in f ON f.c_custkey = coalesce(t.c_custkey, l.c_custkey)
 """)
 def incremental_upsert_q(spark: SparkSession, sf: str) -> DataFrame:
     """The first two landings, which both bring the new MACHINERY keys, are taken by one run; the third by a second stream with a checkpoint of its own,
-    whose batches start at 0 again."""
+    whose batches start at 0 again. The table is kept in buckets of its key."""
     root = scratch_path(spark, "incremental_upsert")
-    table = f"{root}/table"
-    publish(customer_target(spark, sf), table, "v=initial")
+    store = KeyedStore(spark, f"{root}/store")
+    store.run(lambda txn: txn.create("customer", customer_target(spark, sf), "c_custkey", 8))
     for stream, drops in enumerate((DROPS[:2], DROPS[2:])):
         schema = None
         for i, drop in enumerate(drops):
             changes = customer_changes(spark, sf, **drop).withColumn("landed", F.lit(2 * stream + i + 1))
             changes.write.mode("append").parquet(f"{root}/landing{stream}")
             schema = schema or changes.schema
-        run_upsert_stream(spark, f"{root}/landing{stream}", schema, table, "c_custkey", CUSTOMER_UPDATE, "landed", f"{root}/checkpoint{stream}")
-    return read_published(spark, table)
+        run_keyed_stream(spark, f"{root}/landing{stream}", schema, store, "customer", CUSTOMER_UPDATE, "landed", f"{root}/checkpoint{stream}")
+    return store.read("customer")
+
+
+# ---------------------------------------------------------------------------------------------
+# bucket_children (J5/K1): the same replacement in a keyed table, parents without change left as they are.
+
+@register("bucket_children", """
+WITH n AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity + 1 AS l_quantity
+  FROM lineitem WHERE l_linenumber <= 2 AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey % 100 = 7))
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.l_orderkey = lineitem.l_orderkey)
+UNION ALL
+SELECT * FROM n
+""")
+def bucket_children_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders of every hundredth customer come back with a changed set of lines 1-2; only the
+    buckets that hold such an order are written again."""
+    target = read_table(spark, sf, "lineitem").select(*CHILD_COLUMNS)
+    some = read_table(spark, sf, "orders").where(F.col("o_custkey") % 100 == 7).select(F.col("o_orderkey").alias("l_orderkey"))
+    new = target.join(some, "l_orderkey", "left_semi").where(F.col("l_linenumber") <= 2).withColumn("l_quantity", F.col("l_quantity") + 1)
+    store = KeyedStore(spark, scratch_path(spark, "bucket_children"))
+    store.run(lambda txn: txn.create("lines", target, "l_orderkey", 64))
+    store.run(lambda txn: txn.replace_children("lines", new))
+    return store.read("lines")
 
 
 # ---------------------------------------------------------------------------------------------

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ledgerflow.sinks.commits import CommitConflict, CommitLog, Folder
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -29,38 +31,48 @@ def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
         raise
 
 
-def _pointers(spark: SparkSession, table_path: str) -> list[tuple[int, str]]:
-    try:
-        rows = spark.read.schema("seq bigint, version string").option("sep", "\t").csv(f"{table_path}/pointers").collect()
-    except AnalysisException as e:
-        if _missing(e):
-            return []
-        raise
-    return sorted((r["seq"], r["version"]) for r in rows)  # one short line for each publication
+def _pointers(spark: SparkSession, table_path: str) -> CommitLog:
+    return CommitLog(spark, f"{table_path}/pointers")
+
+
+ANY = object()  # whatever version is published
 
 
-def _point_to(spark: SparkSession, table_path: str, version: str) -> None:
-    """Adds a pointer file; none is ever rewritten, so a reader always finds the newest whole one."""
-    seq = max([s for s, _ in _pointers(spark, table_path)], default=0) + 1
-    line = spark.createDataFrame([(seq, version)], "seq bigint, version string").coalesce(1)
-    line.write.mode("append").option("sep", "\t").csv(f"{table_path}/pointers")
+def _point_to(spark: SparkSession, table_path: str, version: str, expected: object = ANY) -> None:
+    """Adds the next pointer, which only one writer can; none is ever rewritten, so a reader always
+    finds the newest whole one. A writer that comes second tries the number after, unless the
+    version it started from (``expected``, None: no table) is no longer the published one."""
+    log = _pointers(spark, table_path)
+    while True:
+        number, now = log.latest()
+        if expected is not ANY and now.get("version") != expected:
+            raise CommitConflict(f"{table_path} is at {now.get('version')}, not at {expected}")
+        versions = [v for v in now.get("versions", []) if v != version] + [version]
+        if log.put({"version": version, "versions": versions}, number, now):
+            log.compact()
+            return
 
 
 def current_version(spark: SparkSession, table_path: str) -> str | None:
     """The published version folder of a table written by ``publish`` (None if never written)."""
-    pointers = _pointers(spark, table_path)
-    return pointers[-1][1] if pointers else None
+    return _pointers(spark, table_path).latest()[1].get("version")
 
 
 def drop_old_versions(spark: SparkSession, table_path: str, keep: int = 3) -> list[str]:
     """Deletes the folders of versions published before the last ``keep``; returns their names.
     Readers that still hold an older version than that lose it, so keep as many as runs overlap."""
-    order = list(dict.fromkeys(v for _, v in reversed(_pointers(spark, table_path))))
-    old = order[max(1, keep):]
+    log = _pointers(spark, table_path)
+    while True:
+        number, now = log.latest()
+        versions = now.get("versions", [])
+        old = versions[:-max(1, keep)]
+        if not old or log.put(now | {"versions": versions[len(old):]}, number, now):
+            break
+    folder = Folder(spark, table_path)
     for v in old:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{v}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return old
+        folder.delete(v)
+    log.compact()
+    return old[::-1]
 
 
 def read_published(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -72,14 +84,16 @@ def read_published(spark: SparkSession, table_path: str, schema: T.StructType |
 
 
 def publish(df: DataFrame, table_path: str, version: str, partition_by: Sequence[str] = (),
-            compression: str = "zstd") -> str:
+            compression: str = "zstd", expected: object = ANY) -> str:
     """K1: replace a table: write ``<table>/<version>`` (a retried write of the same version
-    overwrites only that folder), then add a pointer to it."""
+    overwrites only that folder), then add a pointer to it. With ``expected``, the version that the
+    new one was made from (None: no table yet), a table that another writer has published in the
+    meantime is left as it is and ``CommitConflict`` is raised."""
     w = _whole(df, compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_path}/{version}")
-    _point_to(df.sparkSession, table_path, version)
+    _point_to(df.sparkSession, table_path, version, expected)
     return version
 
 

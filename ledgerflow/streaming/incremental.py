@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ledgerflow.functions.scalar import as_text, log_level, log_tag, rstrip_ws
 from ledgerflow.operators.checks import assert_unique
 from ledgerflow.operators.joins import BROADCAST_BYTES, upsert
+from ledgerflow.sinks.keyed import KeyedStore, Transaction
 from ledgerflow.sinks.writers import current_version, drop_old_versions, publish
 
 
@@ -73,15 +74,52 @@ def upsert_batch(table_path: str, key: str, update_columns: Sequence[str], seque
     return run
 
 
+def upsert_buckets(store: KeyedStore, table: str, update_columns: Sequence[str], sequence: str, checkpoint: str,
+                   keep_commits: int = 3) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: J6 upsert of one micro-batch into a keyed table, rewriting the buckets
+    that its keys touch. The batch's number is part of the commit, so a replay finds itself done."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        stream = stream_id(batch.sparkSession, checkpoint)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read the landed files once per batch
+        try:
+            if batch.isEmpty():
+                return
+
+            def work(txn: Transaction) -> None:
+                if txn.seen(stream, batch_id):
+                    return
+                key = store.snapshot()["tables"][table]["key"]
+                # merge_landings already guarantees one row per key
+                txn.upsert(table, merge_landings(batch, key, sequence, update_columns), update_columns, check_source=False)
+                txn.at_batch(stream, batch_id)
+
+            store.run(work)
+            store.vacuum(keep_commits)
+        finally:
+            batch.unpersist()
+    return run
+
+
+def run_keyed_stream(spark: SparkSession, landing: str, schema: T.StructType | str, store: KeyedStore, table: str,
+                     update_columns: Sequence[str], sequence: str, checkpoint: str, fmt: str = "parquet",
+                     max_files_per_trigger: int | None = None) -> None:
+    """Landed change files -> upsert into a keyed table, until everything landed is processed."""
+    _run_batches(spark, landing, schema, upsert_buckets(store, table, update_columns, sequence, checkpoint), checkpoint, fmt, max_files_per_trigger)
+
+
 def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType | str, table_path: str,
                       key: str, update_columns: Sequence[str], sequence: str, checkpoint: str,
                       fmt: str = "parquet", max_files_per_trigger: int | None = None) -> None:
-    """Landed change files -> upsert into the table, until everything landed is processed."""
+    """Landed change files -> upsert into the published table, until everything landed is processed."""
+    _run_batches(spark, landing, schema, upsert_batch(table_path, key, update_columns, sequence, checkpoint), checkpoint, fmt, max_files_per_trigger)
+
+
+def _run_batches(spark: SparkSession, landing: str, schema: T.StructType | str, body: Callable[[DataFrame, int], None],
+                 checkpoint: str, fmt: str, max_files_per_trigger: int | None) -> None:
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (reader.load(landing).writeStream.foreachBatch(upsert_batch(table_path, key, update_columns, sequence, checkpoint))
-               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = reader.load(landing).writeStream.foreachBatch(body).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
