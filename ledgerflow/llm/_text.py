@@ -1,8 +1,10 @@
 """Byte kernels over Arrow batches of texts (numpy, run inside tasks).
 
 A batch's texts are one UTF-8 buffer with offsets; words, lines and hashes are found for the whole
-batch at once. Word = ``[^\\x20\\x09-\\x0D]+``. Hashes are 64-bit: a polynomial over bytes modulo
-2^64 with an odd base, finalized by a mixer; equal strings hash equally in every task."""
+batch at once. Word = ``[^\\x20\\x09-\\x0D]+``. Words and lines are hashed to 64 bits by the sum of a
+mixed value of each byte and its place (``piece_hash``); windows of a few dozen symbols slide under a
+polynomial modulo 2^64 with an odd base (``span_hash``, not for long spans: such a polynomial has
+known equal values from 1024 symbols on). Equal strings hash equally in every task."""
 
 from __future__ import annotations
 
@@ -102,6 +104,30 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, shift: n
     return mix((prefix[ends] - prefix[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
 
 
+def piece_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of disjoint spans in their order: each byte adds a mixed value of itself and of
+    its place in the span. Hashes of two seeds are independent."""
+    size = ends - starts
+    first = np.append(0, np.cumsum(size))
+    place = np.arange(first[-1]) - np.repeat(first[:-1], size)
+    byte = data[place + np.repeat(starts, size)]
+    salt = np.uint64(seed * 0xA0761D6478BD642F & (1 << 64) - 1)
+    terms = mix(((place.astype(np.uint64) + np.uint64(1)) << np.uint64(8) | byte) + salt)
+    total = np.zeros(first[-1] + 1, np.uint64)
+    np.cumsum(terms, out=total[1:])
+    return mix(total[first[1:]] - total[first[:-1]] + size.astype(np.uint64) * np.uint64(BASE))
+
+
+def points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, and how many each has (bytes that are not UTF-8 are replaced)."""
+    raw = data.tobytes()
+    try:
+        return np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32), per_text((data & 0xC0) != 0x80, offsets)
+    except UnicodeDecodeError:
+        texts = [raw[a:b].decode(errors="replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), np.array([len(t) for t in texts], np.int64)
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` consecutive values (log-many passes)."""
     out, have = values, 1

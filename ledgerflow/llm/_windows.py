@@ -56,7 +56,7 @@ def symbols(spec: Windows, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
     if not spec.of_words:
         return data, offsets
     s, e, first = tx.words(data, offsets)
-    return tx.span_hash(tx.prefix_hash(data), s, e), first
+    return tx.piece_hash(data, s, e), first
 
 
 def paths(spec: Windows, syms: np.ndarray, first: np.ndarray):

@@ -49,11 +49,7 @@ def line_keys(data: np.ndarray, offsets: np.ndarray):
     e = np.where(full, safe[hi - 1] + 1, ls)
     upper = (data >= 65) & (data <= 90)
     low = np.where(upper, data + 32, data).astype(np.uint8)
-    prefix = tx.prefix_hash(low)
-    shift = tx.powers(len(prefix), tx.BASE_INV)
-    h1 = tx.span_hash(prefix, s, e, shift)
-    other = tx.prefix_hash(tx.mix(low.astype(np.uint64) + np.uint64(77)))
-    h2 = tx.span_hash(other, s, e, shift)
+    h1, h2 = tx.piece_hash(low, s, e), tx.piece_hash(low, s, e, seed=1)
     points = np.concatenate([[0], np.cumsum((low & 0xC0) != 0x80)])
     return first, h1, h2, points[e] - points[s]
 

@@ -103,8 +103,7 @@ def scatter_words(buckets: int):
                         x.clear()
                 data, offsets = lowered(piece)
                 s, e, first = tx.words(data, offsets)
-                prefix = tx.prefix_hash(data)
-                hashes.append(tx.span_hash(prefix, s, e))
+                hashes.append(tx.piece_hash(data, s, e))
                 owner.append((tx.text_index(first) + n_docs).astype(np.uint16))
                 own = piece.column("doc_id").to_pylist()
                 ids.append(np.array([LAST if i is None else i for i in own], np.int64))

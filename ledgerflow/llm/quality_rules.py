@@ -2,7 +2,7 @@
 regression, probability-calibrated, against a fixed threshold.
 
 * The model is fitted on a bounded sample of labelled rows (``per_class`` of each class, whole
-  texts): features are hashed words, word pairs and byte trigrams, each as a share of its text.
+  texts): features are hashed words, word pairs and trigrams of code points, each as a share of its text.
   Out-of-fold scores of two halves give the Platt calibration; the final weights use all of them.
 * Scoring reads every whole text in Arrow batches of about 4 MB; one batch is one pass of array
   operations, with no shuffle. The broadcast model has a fixed size (3 x 2^16 floats).
@@ -29,7 +29,7 @@ PER_CLASS = 700           # bound of the training sample: labelled rows of each
 MIN_WORDS = 10            # base rules: fewer words fail,
 MAX_REPEAT_PERCENT = 20   # and more than so many percent of words in repeated 5-word windows
 WINDOW = 5
-MIN_PROBABILITY = 0.02    # fixed threshold on the calibrated probability of quality 1: only clear junk goes
+MIN_PROBABILITY = 0.1     # fixed threshold on the calibrated probability of quality 1: clear junk goes, however few labels taught it
 SYMBOLS = b"#*$%&|<>"
 SCALE = 20.0              # shares of a text are small numbers; one factor for all features
 SHRINK = 20               # added to a text's number of features: short texts say less
@@ -76,14 +76,12 @@ class Batch:
     def __init__(self, column):
         self.data, self.offsets = tx.utf8(column)
         self.starts, self.ends, self.first = tx.words(self.data, self.offsets)
-        prefix = tx.prefix_hash(self.data)
-        shift = tx.powers(len(prefix), tx.BASE_INV)
-        self.hash = tx.span_hash(prefix, self.starts, self.ends, shift)
+        self.hash = tx.piece_hash(self.data, self.starts, self.ends)
         self.text = tx.text_index(self.first)
         ls, le, self.line_first = tx.lines(self.data, self.offsets)
         self.line_text = tx.text_index(self.line_first)
         has_word = np.searchsorted(self.starts, le) > np.searchsorted(self.starts, ls)
-        self.line_keys = salted(tx.span_hash(prefix, ls, le, shift), self.line_text)[has_word]
+        self.line_keys = salted(tx.piece_hash(self.data, ls, le), self.line_text)[has_word]
         self.line_text = self.line_text[has_word]
 
     def base(self) -> dict[str, np.ndarray]:
@@ -117,13 +115,14 @@ class Batch:
         both = tx.mix(self.hash[:-1] * np.uint64(3) + self.hash[1:])[pair] if len(pair) else np.zeros(0, np.uint64)
         at = self.text[:-1][pair] if len(pair) else np.zeros(0, np.int64)
         yield (both & mask).astype(np.int64) + DIMS, at, np.bincount(at, minlength=n_texts)
-        d, byte_text = self.data, np.repeat(np.arange(n_texts, dtype=np.int32), np.diff(self.offsets))
-        if len(d) < 3:
+        code, sizes = tx.points(self.data, self.offsets)
+        if len(code) < 3:
             return
-        code = (d[:-2].astype(np.uint32) << np.uint32(16)) | (d[1:-1].astype(np.uint32) << np.uint32(8)) | d[2:]
-        same = byte_text[2:] == byte_text[:-2]
-        bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(16))[same].astype(np.int64) + 2 * DIMS
-        at = byte_text[:-2][same]
+        owner, code = np.repeat(np.arange(n_texts, dtype=np.int32), sizes), code.astype(np.uint64)
+        gram = (code[:-2] << np.uint64(42)) | (code[1:-1] << np.uint64(21)) | code[2:]
+        same = owner[2:] == owner[:-2]
+        bucket = (tx.mix(gram[same]) & mask).astype(np.int64) + 2 * DIMS
+        at = owner[:-2][same]
         yield bucket, at, np.bincount(at, minlength=n_texts)
 
     def logits(self, weights: np.ndarray, bias: float) -> np.ndarray:

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm._frames import doc_texts, fresh, shuffle_partitions
@@ -54,15 +54,20 @@ def fingerprint(raw: bytes, k: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
 
 
+def text_hash(text: str | Column) -> Column:
+    """A null text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp BIGINT`` of every document."""
+    """``doc_id, text_hash, fp BIGINT`` of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("text").cast(pa.binary()).to_pylist()
             fp = pa.array([fingerprint(t or b"", k) for t in raw], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), fp], names=["doc_id", "text_hash", "fp"])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+    return doc_texts(docs).withColumn("text_hash", text_hash("text")).mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def linked(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
@@ -146,14 +151,17 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, list_size: int = LIST_S
 
 
 def simhash_components(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every document."""
+    """``doc_id, text_hash, fp, component_id, first`` of every document; ``first`` says which of the
+    component's rows comes first: the smallest doc_id (none last), then the least text hash."""
     marked = cut(fingerprints(docs, k))
-    nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(place).alias("first")))
     labels = components(near_links(nodes.select("fp"), max_bits))
-    member = cut(nodes.join(labels, nodes["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
-    root = cut(member.groupBy(F.col("label").alias("root")).agg(F.min("least").alias("component_id")))
-    named = cut(member.join(root, member["label"] == root["root"]).select(F.col("fp").alias("node"), "component_id"))
-    return marked.join(named, marked["fp"] == named["node"]).select("doc_id", "fp", "component_id")
+    member = cut(nodes.join(labels, nodes["fp"] == labels["node"], "left").select("fp", "least", "first", F.coalesce("label", "fp").alias("label")))
+    root = cut(member.groupBy(F.col("label").alias("root")).agg(F.min("least").alias("component_id"), F.min("first").alias("head")))
+    named = cut(member.join(root, member["label"] == root["root"]).select(F.col("fp").alias("node"), "component_id", "head"))
+    found = marked.join(named, marked["fp"] == named["node"])
+    return found.select("doc_id", "text_hash", "fp", "component_id", place.eqNullSafe(F.col("head")).alias("first"))
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
@@ -163,19 +171,24 @@ def simhash_digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents (all their columns) that stay: of each component the one with the smallest
-    doc_id (all rows that repeat that doc_id count as it); a component whose rows have no doc_id
-    stays as it is."""
+    """The documents (all their columns) that stay: one row of each component, that with the smallest
+    doc_id (rows without one come last), of several such the one whose text has the least hash, and
+    of equal texts the one whose columns' hash is least. Rows are told by doc_id and text, so a row
+    isn't lost because another one with its doc_id is a copy."""
     found = simhash_components(docs, k, max_bits)
-    gone = fresh(docs, "gone_id")
-    lost = found.where("doc_id > component_id").select(F.col("doc_id").alias(gone)).distinct()
-    orphans = found.where("doc_id is null and component_id is not null").limit(1).count()
-    kept = docs.join(lost, docs["doc_id"].cast("bigint") == lost[gone], "left_anti")
-    if orphans:  # rows without a doc_id are copies of one that has: told by their fingerprint
-        fp = fresh(docs, "fp")
-        named = found.where("doc_id is null and component_id is not null").select(F.col("fp").alias(fp)).distinct()
-        null_rows = docs.where("doc_id is null")
-        prints = F.pandas_udf(lambda s: s.map(lambda t: fingerprint((t or "").encode(), k)), "bigint")
-        null_kept = null_rows.withColumn(fp, prints(F.coalesce(F.col("text").cast("string"), F.lit("")))).join(named, fp, "left_anti").select(*[f"`{c}`" for c in docs.columns])
-        kept = kept.where("doc_id is not null").unionAll(null_kept)
-    return kept
+    d, h, n, p = (fresh(docs, x) for x in ("mark_doc", "mark_text", "mark_rows", "mark_pick"))
+    rows = found.groupBy(F.col("doc_id").alias(d), F.col("text_hash").alias(h)).agg(F.when(F.max("first"), F.count(F.lit(1))).otherwise(F.lit(0)).alias(n))
+    marks = cut(rows.where(F.col(n) != 1))  # 0: goes; more: that many equal rows, of which one stays
+
+    def marked(which: DataFrame, how: str) -> DataFrame:
+        on = docs["doc_id"].cast("bigint").eqNullSafe(which[d]) & (text_hash(docs["text"].cast("string")) == which[h])
+        return docs.join(which, on, how)
+
+    kept = marked(marks, "left_anti")
+    repeated = marks.where(F.col(n) > 1)
+    if repeated.isEmpty():
+        return kept
+    # combined before the shuffle, however many equal rows there are
+    own = F.struct(F.xxhash64(*[F.to_json(F.struct(docs[f"`{c}`"])) for c in docs.columns]).alias("order"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    one = marked(repeated, "inner").groupBy(d, h).agg(F.min_by(own["row"], own["order"]).alias(p)).select(f"{p}.*")
+    return kept.unionByName(one)

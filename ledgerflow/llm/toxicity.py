@@ -74,15 +74,7 @@ def code_points(column) -> tuple[np.ndarray, np.ndarray]:
     """Folded code points of all texts, each between two boundaries, and the text of each."""
     if not FOLDING:
         FOLDING.append(folding())
-    data, offsets = tx.utf8(column)
-    raw = data.tobytes()
-    try:
-        points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
-        sizes = tx.per_text((data & 0xC0) != 0x80, offsets)
-    except UnicodeDecodeError:  # bytes that are not UTF-8: replaced, text by text
-        texts = [raw[a:b].decode(errors="replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-        sizes = np.array([len(t) for t in texts], np.int64)
+    points, sizes = tx.points(*tx.utf8(column))
     points = np.where(points < 1 << 16, FOLDING[0][np.minimum(points, (1 << 16) - 1)], points)
     n = len(sizes)
     text = np.repeat(np.arange(n), sizes + 2)

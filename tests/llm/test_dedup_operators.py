@@ -1,17 +1,24 @@
 """Dedup operators (2, 3, 8, 9) against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from ledgerflow.llm import line_dedup, simhash, substring_dedup, suffix_dedup
+from ledgerflow.llm import _text as tx
+from ledgerflow.llm import line_dedup, quality_rules, simhash, substring_dedup, suffix_dedup
 from ledgerflow.llm._induced import suffix_order
 
+REPO = Path(__file__).resolve().parents[2]
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANK = " \t\n\x0b\x0c\r"
 INF = float("inf")
@@ -198,10 +205,15 @@ def test_long_lists_are_split(spark):
 def test_one_of_each_stays(make_docs, rows):
     rows = near_rows(rows)
     docs = make_docs(rows).withColumnsRenamed({"lang": "gone_id", "source": "fp"})
-    want = Counter((i, t) for (i, t), (_, _, c) in zip(rows, brute_components(rows), strict=True) if i == c)
+    # one row of each component, told by the least doc_id and then the least hash of the text
+    groups = {}
+    for (i, t), (_, fp, c) in zip(rows, brute_components(rows), strict=True):
+        h = xxhash.xxh64_intdigest((t or "").encode(), 42)
+        groups.setdefault(c if c is not None else fp, []).append((order(i), h - (1 << 64) if h >> 63 else h, i, t))
+    want = Counter((i, t or "") for _, _, i, t in map(lambda g: min(g, key=lambda x: x[:2]), groups.values()))
     out = simhash.keep_one_of_each(docs)
     assert out.columns == docs.columns
-    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == want
+    assert Counter((r["doc_id"], r["text"] or "") for r in out.collect()) == want
 
 
 @pytest.mark.parametrize("digest", [line_dedup.line_digest, substring_dedup.substring_digest, suffix_dedup.suffix_digest, simhash.simhash_digest,
@@ -209,3 +221,50 @@ def test_one_of_each_stays(make_docs, rows):
 def test_no_rows(make_docs, digest):
     assert digest(make_docs([])).count() == 0
     assert digest(make_docs([(None, None), (1, "")])).count() in (1, 2)
+
+
+def thue_morse(a, b, n):
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_texts_that_polynomials_take_for_equal_stay_apart(spark, make_docs, n):
+    one, other = thue_morse("a", "b", n), thue_morse("b", "a", n)
+    docs = make_docs([(1, one), (2, other), (3, f"{one}\n{other}\n{one}")])
+    dropped = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_digest(docs).collect()}
+    assert dropped == {1: 0, 2: 0, 3: 3}
+    lines = quality_rules.Batch(pa.array([f"{one}\n{other}", f"{one}\n{one}"])).base()["n_dup_lines"]
+    assert lines.tolist() == [0, 1]
+    data, offsets = tx.utf8(pa.array([f"{one} {other} {one}"]))
+    s, e, _ = tx.words(data, offsets)
+    h = tx.piece_hash(data, s, e)
+    assert h[0] == h[2] != h[1] and (tx.piece_hash(data, s, e, seed=1) != h).all()
+
+
+def test_one_row_of_each_group_stays_and_no_row_of_another(spark, make_docs):
+    text = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"thing{i * 7}" for i in range(40))
+    third = " ".join(f"stuff{i * 3}" for i in range(40))
+    rows = [(1, text), (5, text + "  "), (5, other), (6, third), (6, third), (None, third), (None, None), (None, None)]
+    kept = [tuple(r) for r in simhash.keep_one_of_each(make_docs(rows)).select("doc_id", "text").collect()]
+    assert sorted(kept, key=str) == sorted([(1, text), (5, other), (6, third), (None, None)], key=str)
+
+
+def test_suffix_dedup_on_workers_without_the_package(tmp_path):
+    """The package is on the driver's path only: workers start in another folder, without it."""
+    script = tmp_path / "job.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(REPO)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2") \\
+    .config("spark.checkpoint.dir", {str(tmp_path / "ckpt")!r}).getOrCreate()
+from ledgerflow.llm.suffix_dedup import suffix_digest
+shared = "a passage of more than fifty bytes that both of the two texts hold"
+docs = spark.createDataFrame([(1, "x " + shared + " tail one"), (2, "yy " + shared + " ends"), (3, "zz " + shared + " tail one")], "doc_id long, text string")
+print(sorted((r["doc_id"], r["n_removed"]) for r in suffix_digest(docs).collect()))
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300, check=False)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "(1, 0)" in done.stdout
