@@ -25,7 +25,7 @@ from ledgerflow.operators.reshape import align_columns, blank_nulls, rename_colu
 from ledgerflow.plans import tickets as t
 from ledgerflow.plans.catalog import register
 from ledgerflow.plans.geocoding import normalise_address
-from ledgerflow.plans.snapshots import archive_bytes, csv_text, land_file, write_csv_file
+from ledgerflow.plans.snapshots import csv_line, delivery_name, land_archives, write_csv_file
 from ledgerflow.session import scratch_path, ship_with_tasks
 from ledgerflow.sinks.keyed import KeyedStore, Transaction
 from ledgerflow.sinks.writers import export_by_bucket, export_parquet, publish, publish_csv, read_published, truncate_load
@@ -236,10 +236,10 @@ def job_geocoding_q(spark: SparkSession, sf: str) -> DataFrame:
 # --- archive load ----------------------------------------------------------------------------
 
 def load_archives(spark: SparkSession, path: str, tables: str, load_time: datetime, version: str,
-                  members: Mapping[str, Sequence[str]] = ARCHIVE_MEMBERS) -> dict[str, DataFrame]:
+                  members: Mapping[str, Sequence[str]] = ARCHIVE_MEMBERS, name: Column | None = None) -> dict[str, DataFrame]:
     """S6 + F13 + F14 + K1: the wanted members of the delivered archives, each replacing its table, all
     with one load time. The archives are opened once."""
-    lines = read_archive_lines(spark, path, list(members)).persist(StorageLevel.MEMORY_AND_DISK)
+    lines = read_archive_lines(spark, path, list(members), name=name).persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
     try:
         for member, names in members.items():
@@ -256,25 +256,27 @@ ARCHIVE_TIME = datetime(2024, 6, 3, 2, 0, 0)
 
 
 @register("job_archive_load", """
-SELECT 'ic_etablissement' AS table_name, CAST(n_nationkey AS VARCHAR) AS id,
-       CASE WHEN n_nationkey % 4 = 1 THEN NULL ELSE n_name || '; "x"' || chr(10) END AS label, TIMESTAMP '2024-06-03 02:00:00' AS inserted_at FROM nation
-UNION ALL SELECT 'ic_installation_classee', CAST(n_nationkey AS VARCHAR), n_name, TIMESTAMP '2024-06-03 02:00:00' FROM nation
-UNION ALL SELECT 'ic_ref_nomenclature_ic', CAST(r_regionkey AS VARCHAR), r_name, TIMESTAMP '2024-06-03 02:00:00' FROM region
+SELECT 'ic_etablissement' AS table_name, CAST(s_suppkey AS VARCHAR) AS id,
+       CASE WHEN s_suppkey % 4 = 1 THEN NULL ELSE s_name || '; "x"' || chr(10) END AS label, TIMESTAMP '2024-06-03 02:00:00' AS inserted_at FROM supplier
+UNION ALL SELECT 'ic_installation_classee', CAST(c_custkey AS VARCHAR), c_name, TIMESTAMP '2024-06-03 02:00:00' FROM customer
+UNION ALL SELECT 'ic_ref_nomenclature_ic', CAST(p_partkey AS VARCHAR), p_type, TIMESTAMP '2024-06-03 02:00:00' FROM part
 """)
 def job_archive_load_q(spark: SparkSession, sf: str) -> DataFrame:
-    n, r = read_table(spark, sf, "nation"), read_table(spark, sf, "region")
-    name = F.when(F.col("n_nationkey") % 4 == 1, F.lit("NULL")).otherwise(F.concat("n_name", F.lit('; "x"\n')))
-
-    def wide(df: DataFrame, member: str, **cells: Column) -> str:
-        return csv_text(df.select(*[cells.get(c, F.lit(None).cast("string")).alias(c) for c in ARCHIVE_MEMBERS[member]]))
-
-    files = {"IC_etablissement.csv": wide(n, "IC_etablissement.csv", codeS3ic=F.col("n_nationkey"), nomEts=name),
-             "IC_installation_classee.csv": wide(n, "IC_installation_classee.csv", codeS3ic=F.col("n_nationkey"), statut_ic=F.col("n_name")),
-             "IC_ref_nomenclature_ic.csv": wide(r, "IC_ref_nomenclature_ic.csv", id=F.col("r_regionkey"), libellecourt_activite=F.col("r_name")),
-             "version": "1\n"}
+    """Deliveries of up to a thousand rows a member, each an archive packed in a task."""
+    s, c, p = (read_table(spark, sf, t) for t in ("supplier", "customer", "part"))
+    name = F.when(F.col("s_suppkey") % 4 == 1, F.lit("NULL")).otherwise(F.concat("s_name", F.lit('; "x"\n')))
+
+    def wide(df: DataFrame, member: str, key: str, **cells: Column) -> DataFrame:
+        line = csv_line([cells.get(x, F.lit(None).cast("string")) for x in ARCHIVE_MEMBERS[member]])
+        delivery = F.concat(F.lit("delivery_"), F.floor(F.col(key) / 1000).cast("string"), F.lit(".tar.gz"))
+        return df.select(delivery.alias("delivery"), F.lit(member).alias("member"), line.alias("line"))
+
+    rows = wide(s, "IC_etablissement.csv", "s_suppkey", codeS3ic=F.col("s_suppkey"), nomEts=name) \
+        .unionByName(wide(c, "IC_installation_classee.csv", "c_custkey", codeS3ic=F.col("c_custkey"), statut_ic=F.col("c_name"))) \
+        .unionByName(wide(p, "IC_ref_nomenclature_ic.csv", "p_partkey", id=F.col("p_partkey"), libellecourt_activite=F.col("p_type")))
     root = scratch_path(spark, "archive_load")
-    land_file(spark, f"{root}/in/delivery.tar.gz", archive_bytes("delivery.tar.gz", files))
-    tables = load_archives(spark, f"{root}/in", f"{root}/tables", ARCHIVE_TIME, "v=1")
+    land_archives(rows, f"{root}/in", {"version": "1\n"})
+    tables = load_archives(spark, f"{root}/in", f"{root}/tables", ARCHIVE_TIME, "v=1", name=delivery_name())
     keys = {"ic_etablissement": ("codeS3ic", "nomEts"), "ic_installation_classee": ("codeS3ic", "statut_ic"), "ic_ref_nomenclature_ic": ("id", "libellecourt_activite")}
     out = None
     for table, (key, label) in keys.items():

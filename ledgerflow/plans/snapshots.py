@@ -7,15 +7,17 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalar import NA_TOKENS, run_timestamp
 from ledgerflow.operators.checks import observe_count
 from ledgerflow.plans.catalog import register
-from ledgerflow.session import scratch_path
+from ledgerflow.session import scratch_path, ship_with_tasks
 from ledgerflow.sinks.writers import publish, read_published, truncate_load
 from ledgerflow.sources.archives import parse_member_csv, read_archive_lines
 from ledgerflow.sources.files import read_headless_csv, read_snapshot_csv, read_string_csv
@@ -68,11 +70,35 @@ def snapshot_csv_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------
-# archive_members (S6/P15): one archive per region (zip for region 0, tar.gz otherwise) with the
-# wanted members, a version file and an unwanted member.
+# snapshot_one_file (S4): the same delivery as one file, quoted line breaks in it, read by many tasks.
 
-WANTED_MEMBERS = ["nations.csv", "region.csv"]
-NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
+@register("snapshot_one_file", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS siren, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS siret,
+       CASE WHEN c_nationkey = 1 THEN c_name || ' "Ltd", line' || chr(10) || 'next' ELSE c_name END AS denomination,
+       c_nationkey AS code_commune, c_acctbal AS solde,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c_mktsegment END AS secteur,
+       DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS date_creation
+FROM customer
+""")
+def snapshot_one_file_q(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "snapshot_one_file")
+    write_csv_file(register_snapshot(spark, sf).coalesce(1), path)
+    return read_snapshot_csv(spark, path, SNAPSHOT_SCHEMA, split_bytes=16 << 10)
+
+
+# ---------------------------------------------------------------------------------------------
+# archive_members (S6/P15): an archive for every 500 customers (zip and tar.gz by turns) with a wanted
+# member of many rows, one of one row, a version file and an unwanted member.
+
+WANTED_MEMBERS = ["customers.csv", "block.csv"]
+CUSTOMER_MEMBER = ["c_custkey", "c_name", "c_nationkey"]
+BLOCK_ROWS = 500
+
+
+def csv_line(cells: Sequence[str | Column], sep: str = ";") -> Column:
+    """Producer side of a delivery: a row as quoted CSV text; null is an empty cell."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cells]
+    return F.concat_ws(sep, *[F.when(c.isNull(), F.lit("")).otherwise(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))) for c in texts])
 
 
 def archive_bytes(name: str, members: dict[str, str]) -> bytes:
@@ -91,43 +117,41 @@ def archive_bytes(name: str, members: dict[str, str]) -> bytes:
     return buf.getvalue()
 
 
-def land_file(spark: SparkSession, path: str, content: bytes) -> None:
-    """Puts one small file where the cluster's other files are (any Hadoop file system)."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    try:
-        out.write(bytearray(content))
-    finally:
-        out.close()
+def delivery_name() -> Column:
+    return F.regexp_extract("path", "delivery=([^/]+)/", 1)
 
 
-def csv_text(df: DataFrame, sep: str = ";") -> str:
-    """Producer side of a small delivery (a dimension table): its rows as quoted CSV text."""
-    cells = [F.when(F.col(c).isNull(), F.lit("")).otherwise(
-        F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))) for c in df.columns]
-    return "".join(r["l"] + "\n" for r in df.select(F.concat_ws(sep, *cells).alias("l")).collect())
+def land_archives(lines: DataFrame, path: str, others: dict[str, str]) -> None:
+    """Producer side: rows ``delivery, member, line`` as one archive for each delivery (of a bounded
+    number of rows), packed in tasks, beside ``others``; each in a folder of its name."""
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        name = rows["delivery"].iloc[0]
+        members = {m: "".join(f"{x}\n" for x in own["line"]) for m, own in rows.groupby("member")}
+        return pd.DataFrame({"content": [archive_bytes(name, members | others)], "delivery": [name]})
+
+    packed = lines.groupBy("delivery").applyInPandas(pack, "content binary, delivery string")
+    packed.select(F.col("content").cast("string").alias("value"), "delivery").write.partitionBy("delivery").text(path)
 
 
 @register("archive_members", """
-SELECT 'region_' || CAST(n_regionkey AS VARCHAR) || CASE WHEN n_regionkey = 0 THEN '.zip' ELSE '.tar.gz' END AS archive,
-       CAST(n_nationkey AS VARCHAR) AS n_nationkey,
-       CASE WHEN n_nationkey % 5 = 1 THEN NULL WHEN n_nationkey % 5 = 2 THEN n_name || '; "the' || chr(10) || 'second"' ELSE n_name END AS n_name,
-       CAST(n_regionkey AS VARCHAR) AS n_regionkey
-FROM nation
+SELECT 'block_' || CAST(c_custkey // 500 AS VARCHAR) || CASE WHEN (c_custkey // 500) % 2 = 0 THEN '.zip' ELSE '.tar.gz' END AS archive,
+       CAST(c_custkey AS VARCHAR) AS c_custkey,
+       CASE WHEN c_custkey % 5 = 1 THEN NULL WHEN c_custkey % 5 = 2 THEN c_name || '; "the' || chr(10) || 'second"' ELSE c_name END AS c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey
+FROM customer
 """)
 def archive_members_q(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "archives")
-    nations = read_table(spark, sf, "nation")
-    name = F.when(F.col("n_nationkey") % 5 == 1, F.lit("NA")) \
-            .when(F.col("n_nationkey") % 5 == 2, F.concat("n_name", F.lit('; "the\nsecond"'))).otherwise(F.col("n_name"))
-    regions = [r[0] for r in read_table(spark, sf, "region").select("r_regionkey").collect()]  # a fixed handful
-    for k in regions:
-        rows = nations.where(F.col("n_regionkey") == k).select("n_nationkey", name.alias("n_name"), "n_regionkey")
-        members = {"nations.csv": csv_text(rows), "region.csv": f"{k};x\n", "version": "1\n", "notes.txt": "not wanted\n"}
-        file = f"region_{k}.zip" if k == 0 else f"region_{k}.tar.gz"
-        land_file(spark, f"{root}/{file}", archive_bytes(file, members))
-    lines = read_archive_lines(spark, root, WANTED_MEMBERS)
-    return parse_member_csv(lines, "nations.csv", NATION_COLUMNS).select("archive", *NATION_COLUMNS)
+    c = read_table(spark, sf, "customer")
+    name = F.when(F.col("c_custkey") % 5 == 1, F.lit("NA")) \
+            .when(F.col("c_custkey") % 5 == 2, F.concat("c_name", F.lit('; "the\nsecond"'))).otherwise(F.col("c_name"))
+    block = F.floor(F.col("c_custkey") / BLOCK_ROWS)
+    delivery = F.concat(F.lit("block_"), block.cast("string"), F.when(block % 2 == 0, F.lit(".zip")).otherwise(F.lit(".tar.gz")))
+    rows = c.select(delivery.alias("delivery"), F.lit("customers.csv").alias("member"), csv_line(["c_custkey", name, "c_nationkey"]).alias("line"))
+    heads = rows.select("delivery", F.lit("block.csv").alias("member"), F.lit("1;x").alias("line")).distinct()
+    land_archives(rows.unionByName(heads), root, {"version": "1\n", "notes.txt": "not wanted\n"})
+    lines = read_archive_lines(spark, root, WANTED_MEMBERS, name=delivery_name())
+    return parse_member_csv(lines, "customers.csv", CUSTOMER_MEMBER).select("archive", *CUSTOMER_MEMBER)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -186,3 +210,5 @@ def na_tokens_q(spark: SparkSession, sf: str) -> DataFrame:
     write_csv_file(p.select("p_partkey", raw.alias("p_name")), root)
     return read_string_csv(spark, root, ["p_partkey", "p_name"])
 
+
+ship_with_tasks(__name__)

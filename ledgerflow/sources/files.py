@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.scalar import na_to_null
+from ledgerflow.sources.quoted import SPLIT_BYTES, file_bytes, read_records
 
 # Marker for a quoted empty cell (""), told apart from an unquoted empty cell (null) - S4n.
 QUOTED_EMPTY = "\u0001"
@@ -19,19 +20,27 @@ def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+def read_csv_rows(spark: SparkSession, path: str, schema: T.StructType, header: bool, options: dict[str, str],
+                  multiline: bool = True, split_bytes: int | None = SPLIT_BYTES) -> DataFrame:
+    """Quoted CSV bound by position, FAILFAST. With ``multiline`` a cell may hold line breaks: Spark's
+    reader then takes a file whole, in one task, so files over ``split_bytes`` are cut into records by
+    many tasks first (``quoted``; the rows are the same). ``split_bytes=None`` never cuts."""
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"} | options
+    if multiline and split_bytes is not None and max(file_bytes(spark, path), default=0) > split_bytes:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        cells = F.from_csv(F.col("record"), ddl, options | {"multiLine": "true", "lineSep": "\n"})
+        return read_records(spark, path, header, split_bytes).select(cells.alias("_r")).select("_r.*")
+    return spark.read.schema(schema).options(**options).option("header", header).option("enforceSchema", True).option("multiLine", multiline).csv(path)
+
+
 def read_snapshot_csv(spark: SparkSession, path: str, schema: T.StructType | str,
-                      multiline: bool = True, keep_quoted_empty: bool = True) -> DataFrame:
+                      multiline: bool = True, keep_quoted_empty: bool = True, split_bytes: int | None = SPLIT_BYTES) -> DataFrame:
     """S4/S4n/Q4: headed comma CSV bound **by position** to a declared schema (header skipped),
     RFC-4180 quoting (doubled quotes, quoted line breaks), FAILFAST on a malformed row.
     Unquoted empty -> null, quoted empty -> '' (``keep_quoted_empty``).
-    ``multiline`` must stay on when a cell may hold a line break; it makes each file one task,
-    so large snapshots should be delivered as several files (or landed once as Parquet)."""
-    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-                   .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-                   .option("mode", "FAILFAST"))
-    if keep_quoted_empty:
-        reader = reader.option("emptyValue", QUOTED_EMPTY)
-    df = reader.csv(path)
+    ``multiline`` must stay on when a cell may hold a line break (``read_csv_rows``)."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    df = read_csv_rows(spark, path, schema, True, {"emptyValue": QUOTED_EMPTY} if keep_quoted_empty else {}, multiline, split_bytes)
     if not keep_quoted_empty:
         return df
     fixed = []
@@ -44,22 +53,19 @@ def read_snapshot_csv(spark: SparkSession, path: str, schema: T.StructType | str
 
 
 def read_headless_csv(spark: SparkSession, path: str, names: Sequence[str], sep: str = ";",
-                      na_tokens: bool = True, multiline: bool = True) -> DataFrame:
+                      na_tokens: bool = True, multiline: bool = True, split_bytes: int | None = SPLIT_BYTES) -> DataFrame:
     """Headless delimited text, every column a string, pandas NA tokens -> null. Quoting as
     in S4 (doubled quotes, quoted separators and line breaks; ``multiline`` as there)."""
-    df = (spark.read.schema(string_schema(names)).option("header", False).option("sep", sep)
-               .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-               .option("mode", "FAILFAST").option("emptyValue", "").csv(path))
+    df = read_csv_rows(spark, path, string_schema(names), False, {"sep": sep, "emptyValue": ""}, multiline, split_bytes)
     if not na_tokens:
         return df
     return df.select(*[na_to_null(F.col(f"`{n}`")).alias(n) for n in names])
 
 
 def read_string_csv(spark: SparkSession, path: str, names: Sequence[str], na_tokens: bool = True,
-                    multiline: bool = True) -> DataFrame:
+                    multiline: bool = True, split_bytes: int | None = SPLIT_BYTES) -> DataFrame:
     """Headed CSV re-read with every column a string (no inference) + NA tokens; quoting as S4."""
-    df = (spark.read.schema(string_schema(names)).option("header", True).option("quote", '"').option("escape", '"')
-               .option("multiLine", multiline).option("mode", "FAILFAST").csv(path))
+    df = read_csv_rows(spark, path, string_schema(names), True, {}, multiline, split_bytes)
     if not na_tokens:
         return df
     return df.select(*[na_to_null(F.col(f"`{n}`")).alias(n) for n in names])

@@ -1,5 +1,5 @@
 """Plan tests: pushdown reaches the scan, yearly copies prune partitions, Python runs only where
-it must (archives, batch enrichment), the upsert's small-source form never shuffles the target."""
+it must (archives, records of a split file, batch enrichment), the upsert's small-source form never shuffles the target."""
 
 import pytest
 
@@ -55,7 +55,9 @@ def test_python_workers_only_in_archives_and_enrichment(spark, monkeypatch):
     for now, query in catalog.queries().items():
         p = plan(query(spark, SF))
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p, now
-    assert used == {"archive_members": {"ledgerflow.sources.archives"}, "job_archive_load": {"ledgerflow.sources.archives"},
+    # the archives of the two queries are also packed in tasks
+    packed = {"ledgerflow.sources.archives", "ledgerflow.plans.snapshots"}
+    assert used == {"archive_members": packed, "job_archive_load": packed, "snapshot_one_file": {"ledgerflow.sources.quoted"},
                     "batch_enrich": {"ledgerflow.operators.enrich"}, "job_geocoding": {"ledgerflow.operators.enrich"}}
 
 
