@@ -83,7 +83,7 @@ FROM customer
 def snapshot_one_file_q(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "snapshot_one_file")
     write_csv_file(register_snapshot(spark, sf).coalesce(1), path)
-    return read_snapshot_csv(spark, path, SNAPSHOT_SCHEMA, split_bytes=16 << 10)
+    return read_snapshot_csv(spark, path, SNAPSHOT_SCHEMA, split_bytes=8 << 10)
 
 
 # ---------------------------------------------------------------------------------------------
