@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.scalar import (blank_if_null, delay_days, delay_hours, fixed_decimal_text, format_ts,
                                          full_name, iso_week, left_chars, parse_utc, year_week)
 from ledgerflow.operators.filters import at_least, closed_interval
-from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_left, overlay_rows
+from ledgerflow.operators.joins import lookup_array, lookup_dimension, lookup_left
 from ledgerflow.operators.nested import join_text
 from ledgerflow.operators.ordinal import load_point, row_index
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
-from ledgerflow.sinks.writers import publish, read_published
+from ledgerflow.sinks.keyed import KeyedStore
 from ledgerflow.sources.files import check_short_page, read_array_pages
 from ledgerflow.sources.tables import read_table
 
@@ -203,6 +203,9 @@ def interval_filter_q(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
 
 
+POSITIONS = 10_000  # rows of a report's range
+
+
 # ---------------------------------------------------------------------------------------------
 # positional_load (K7/W1): the report holds rows 1..N; a reload of the 1997 orders starts at its
 # first row and replaces exactly those rows, the rows after it stay.
@@ -220,7 +223,10 @@ def positional_load_q(spark: SparkSession, sf: str) -> DataFrame:
     changed = o.where(F.year("o_orderdate") == 1997).select("o_orderkey", "o_orderdate",
                                                              F.lower("o_orderstatus").alias("statut"))
     reload = row_index(changed, ["o_orderdate", "o_orderkey"], start=first).select("row_idx", "o_orderkey", "statut")
-    return overlay_rows(report, reload, "row_idx")
+    store = KeyedStore(spark, scratch_path(spark, "positional_load"))
+    store.run(lambda txn: txn.create_positions("report", report, "row_idx", POSITIONS))
+    store.run(lambda txn: txn.replace_positions("report", reload))
+    return store.read("report")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -265,8 +271,9 @@ def report_reload_q(spark: SparkSession, sf: str) -> DataFrame:
     cols = ["row_idx", "number", "created_at", "day"]
     # the report as the previous run left it (header on row 1)
     existing = row_index(tickets.where(F.col("day") < F.lit(f"{LAST_BUILD:%Y-%m-%d}")), ["ts", "number"], start=2)
-    publish(existing.select(*cols), f"{root}/report", "v=1")
-    report = read_published(spark, f"{root}/report")                       # S13: read the report back
+    store = KeyedStore(spark, f"{root}/store")
+    store.run(lambda txn: txn.create_positions("report", existing.select(*cols), "row_idx", POSITIONS))
+    report = store.read("report")                                          # S13: read the report back
     start_day = RUN_START - timedelta(days=7)                               # F15
     end_day = RUN_END - timedelta(days=1)
     point = load_point(report, "row_idx", "day", "number", f"{start_day:%Y-%m-%d}", first_position=2).first()
@@ -277,5 +284,5 @@ def report_reload_q(spark: SparkSession, sf: str) -> DataFrame:
     check_short_page(spark, f"{root}/pages", TICKET_PAGE_ROWS)
     pages = read_array_pages(spark, f"{root}/pages", TICKET_SCHEMA)
     reload = row_index(pages, ["ts", "number"], start=point["next_row_idx"]).select(*cols)
-    publish(overlay_rows(report, reload, "row_idx"), f"{root}/report", "v=2")  # K7
-    return read_published(spark, f"{root}/report")
+    store.run(lambda txn: txn.replace_positions("report", reload))          # K7
+    return store.read("report")

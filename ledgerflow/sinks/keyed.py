@@ -10,7 +10,11 @@ sees all tables as of one commit, never a new parent with old children.
 Two writers of different buckets both succeed (the later one names the other's folders); of two that
 change one bucket, the second finds a conflict and is run again from the new state. Rows without a
 key never conflict: they are added beside the buckets. Choose the number of buckets so that one is
-some hundred MB; a record is a line of text for each bucket."""
+some hundred MB; a record is a line of text for each bucket.
+
+A table can be split by ranges of a position instead (K7, I3: a report whose rows are numbered): a
+reload of some positions then rewrites only the ranges that it meets, and the first and last of these
+keep their other rows."""
 
 from __future__ import annotations
 
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.operators.checks import assert_unique
-from ledgerflow.operators.joins import BROADCAST_BYTES, replace_children, upsert
+from ledgerflow.operators.joins import BROADCAST_BYTES, overlay_rows, replace_children, upsert
 from ledgerflow.sinks.commits import CommitConflict, CommitLog, Folder
 
 BUCKET = "_bucket"
@@ -33,7 +37,15 @@ LOOSE_FOLDERS = 16  # folders of rows without a key that a commit leaves before
 
 
 def bucket_of(key: str, buckets: int) -> Column:
-    return F.when(F.col(key).isNull(), F.lit(NO_KEY)).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets))).cast("int")
+    return F.when(F.col(key).isNull(), F.lit(NO_KEY)).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets))).cast("bigint")
+
+
+def range_of(position: str, rows: int) -> Column:
+    return F.when(F.col(position).isNull(), F.lit(NO_KEY)).otherwise(F.floor(F.col(position) / rows)).cast("bigint")
+
+
+def _part(table: dict) -> Column:
+    return range_of(table["key"], table["rows"]) if "rows" in table else bucket_of(table["key"], table["buckets"])
 
 
 class KeyedStore:
@@ -105,10 +117,17 @@ class Transaction:
 
     def create(self, name: str, df: DataFrame, key: str, buckets: int) -> None:
         """A new table, or a new one in place of an old one; keys may repeat (children)."""
+        self._create(name, df, {"key": key, "buckets": buckets})
+
+    def create_positions(self, name: str, df: DataFrame, position: str, rows: int) -> None:
+        """A new table by ranges of so many positions (0 and up)."""
+        self._create(name, df, {"key": position, "rows": rows})
+
+    def _create(self, name: str, df: DataFrame, how: dict) -> None:
         if BUCKET in df.columns:
             raise ValueError(f"a column may not be named {BUCKET}")
-        self.made[name] = {"key": key, "buckets": buckets, "schema": df.schema.json(), "folders": {}}
-        written, folder = self._write(name, df, key, buckets)
+        self.made[name] = how | {"schema": df.schema.json(), "folders": {}}
+        written, folder = self._write(name, df, how)
         self.changes[name] = {b: [folder] for b in written}
         self.added[name] = []
 
@@ -126,6 +145,11 @@ class Transaction:
         """J5 on the buckets that the children's parents touch."""
         self._rewrite(name, children, replace_children)
 
+    def replace_positions(self, name: str, rows: DataFrame) -> None:
+        """K7 on the ranges that a reload meets: its rows, numbered without gaps, replace exactly those
+        of the same positions."""
+        self._rewrite(name, rows, overlay_rows)
+
     def seen(self, stream: str, batch: int) -> bool:
         """Whether a stream's batch has been committed before."""
         return self.base.get("streams", {}).get(stream, -1) >= batch
@@ -145,14 +169,14 @@ class Transaction:
 
     def _rewrite(self, name: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame, str], DataFrame]) -> None:
         table = self._table(name)
-        key, n = table["key"], table["buckets"]
+        key = table["key"]
         schema = T.StructType.fromJson(json.loads(table["schema"]))
         rows = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # at most one small number for each bucket
-            touched = sorted(r[0] for r in rows.where(F.col(key).isNotNull()).select(bucket_of(key, n)).distinct().collect())
+            touched = sorted(r[0] for r in rows.where(F.col(key).isNotNull()).select(_part(table)).distinct().collect())
             target = self.store.read(name, {"tables": {name: table}}, touched)
-            written, folder = self._write(name, merge(target, rows, key), key, n)
+            written, folder = self._write(name, merge(target, rows, key), table)
         finally:
             rows.unpersist()
         change = self.changes.setdefault(name, {})
@@ -161,13 +185,13 @@ class Transaction:
         if str(NO_KEY) in written:
             self.added.setdefault(name, []).append(folder)
 
-    def _write(self, name: str, df: DataFrame, key: str, buckets: int) -> tuple[set[str], str]:
+    def _write(self, name: str, df: DataFrame, table: dict) -> tuple[set[str], str]:
         """Writes rows by bucket to a new folder; the buckets that have some, and the folder."""
         folder = f"{self.id}-{len(self.folders)}"
         path = f"{self.store.root}/{name}/{folder}"
         self.folders.append((name, folder))
         # few files for small buckets, several for a large one, e.g. that of a hot parent
-        df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET) \
+        df.withColumn(BUCKET, _part(table)).hint("rebalance", BUCKET) \
           .write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd").partitionBy(BUCKET).parquet(path)
         return {x.split("=", 1)[1] for x in Folder(self.spark, path).names() if x.startswith(f"{BUCKET}=")}, folder
 
@@ -204,7 +228,7 @@ class Transaction:
             loose = table["folders"].get(str(NO_KEY), [])
             if len(loose) > LOOSE_FOLDERS:
                 rows = self.store.read(name, {"tables": {name: table}}, [NO_KEY])
-                _, folder = self._write(name, rows, table["key"], table["buckets"])
+                _, folder = self._write(name, rows, table)
                 self.changes.setdefault(name, {})[str(NO_KEY)] = [folder]
                 self.added[name] = []
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.checks import DataCheckError
-from ledgerflow.operators.joins import replace_children, upsert
+from ledgerflow.operators.joins import overlay_rows, replace_children, upsert
 from ledgerflow.sinks import keyed, writers
 from ledgerflow.sinks.commits import CommitConflict, CommitLog, Folder
 from ledgerflow.sinks.keyed import BUCKET, KeyedStore, bucket_of
@@ -205,3 +205,25 @@ def test_keyed_stream_equals_batches_and_replays_once(spark, tmp):
     number = store.log.latest()[0]
     body(spark.createDataFrame(drops[2], cols), last)  # a replay of the last batch
     assert store.log.latest()[0] == number and rows(store.read("t")) == rows(batch)
+
+
+def test_a_reload_rewrites_the_ranges_it_meets(spark, tmp):
+    store = KeyedStore(spark, f"{tmp}/r")
+    report = spark.range(2, 1002).select(F.col("id").alias("row"), F.concat(F.lit("t"), "id").alias("text"))
+    store.run(lambda txn: txn.create_positions("report", report, "row", 100))
+    before = data_files(store.root)
+    old = store.snapshot()["tables"]["report"]["folders"]
+    reload = spark.range(250, 421).select(F.col("id").alias("row"), F.lit("new").alias("text"))
+    store.run(lambda txn: txn.replace_positions("report", reload))
+    now = store.snapshot()["tables"]["report"]["folders"]
+    assert {b for b in now if now[b] != old[b]} == {"2", "3", "4"} and before <= data_files(store.root)
+    assert rows(store.read("report")) == rows(overlay_rows(report, reload, "row"))
+    # past the end, then nothing
+    store.run(lambda txn: txn.replace_positions("report", spark.range(1000, 1250).select(F.col("id").alias("row"), F.lit("end").alias("text"))))
+    assert store.read("report").count() == 1248
+    want = rows(store.read("report"))
+    store.run(lambda txn: txn.replace_positions("report", reload.where("false")))
+    assert rows(store.read("report")) == want
+    with pytest.raises(ValueError, match="positions"):
+        store.run(lambda txn: txn.replace_positions("report", reload.where("row <> 300")))
+    assert rows(store.read("report", buckets=[0])) == rows(report.where("row < 100"))
