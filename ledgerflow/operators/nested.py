@@ -8,6 +8,7 @@ over several tasks); what a chunk becomes (CSV lines, JSON) is made for each chu
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 from collections.abc import Mapping, Sequence
 
@@ -80,6 +81,54 @@ def one_document(chunks: DataFrame, group: Sequence[str], text: Column, count: C
     return whole.select(*group, "n_items", F.concat(F.lit(head), body, F.lit(tail)).alias("document"))
 
 
+def ordered_document(df: DataFrame, group: Sequence[str], order: Sequence[str], line: Column, head: str = "", tail: str = "",
+                     sep: str = "") -> DataFrame:
+    """T2 + N6: ``(group..., n_items, document)``: each group's lines in ``order`` (null order values
+    last, ties by the line) as one document. Lines are dealt to ranges of (group, order), so that a
+    group of any size, equal rows included, is sorted and joined by many tasks; only its pieces of
+    text meet at the end, in the one value that the document is."""
+    flags = [e for i, c in enumerate(order) for e in (F.col(c).isNull().alias(f"_null{i}"), F.col(c).alias(f"_o{i}"))]
+    keys = [f"_{k}{i}" for i in range(len(order)) for k in ("null", "o")]
+    slim = df.select(*group, *flags, line.alias("_line"), F.monotonically_increasing_id().alias("_n"))
+    ranged = slim.repartitionByRange(*group, *keys, "_line", "_n").withColumn("_range", F.spark_partition_id())
+    pieces = ranged.groupBy(*group, "_range").agg(F.array_sort(F.collect_list(F.struct(*keys, "_line"))).alias("_l"))
+    pieces = pieces.select(*group, F.size("_l").cast("bigint").alias("_n"), F.struct("_range", F.array_join(F.transform("_l", lambda x: x["_line"]), sep).alias("_text")).alias("_piece"))
+    whole = pieces.groupBy(*group).agg(F.sum("_n").alias("n_items"), F.array_sort(F.collect_list("_piece")).alias("_l"))
+    body = F.array_join(F.transform("_l", lambda x: x["_text"]), sep)
+    return whole.select(*group, "n_items", F.concat(F.lit(head), body, F.lit(tail)).alias("document"))
+
+
+def union_of_keys(records: DataFrame, column: str = "value") -> DataFrame:
+    """JSON objects (text) with differing keys -> one column for each key that occurs in any of
+    them, by name; a record without the key has null there.
+
+    Types come from all records: one aggregate merges the records' schemas, in the tasks first, into
+    one. Whole numbers are bigint, other numbers double; a key whose values differ in kind, or are
+    lists or objects, is text (JSON); one that is always null is text. A record that isn't an object
+    is an error; null and ``null`` give a row of nulls."""
+    variant = records.select(F.parse_json(F.col(column)).alias("v"))
+    kind = F.schema_of_variant("v")
+    wrong = F.col("v").isNotNull() & ~kind.startswith("OBJECT") & (kind != "VOID")
+    variant = variant.select(F.when(wrong, F.raise_error(F.concat(F.lit("not an object: "), kind)).cast("variant")).otherwise(F.col("v")).alias("v"))
+    merged = variant.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
+    # the names of objects' fields are quoted where they need it
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], merged)
+    schema = T._parse_datatype_string(ddl)
+    fields = sorted(schema.fields, key=lambda f: f.name) if isinstance(schema, T.StructType) else []
+
+    def of(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.DecimalType):
+            kind = "bigint" if f.dataType.scale == 0 and f.dataType.precision <= 18 else "double"
+        else:
+            kind = f.dataType.simpleString() if isinstance(f.dataType, (T.LongType, T.DoubleType, T.BooleanType)) else "string"
+        if '"' in f.name:  # a path can't hold it
+            value = F.try_element_at(F.variant_get("v", "$", "map<string,variant>"), F.lit(f.name))
+            return F.variant_get(value, "$", kind).alias(f.name)
+        return F.variant_get("v", f'$["{f.name}"]', kind).alias(f.name)
+
+    return variant.select(*[of(f) for f in fields])
+
+
 def as_objects(arr: str | Column, field: str) -> Column:
     """List of scalars -> list of one-field objects."""
     a = F.col(arr) if isinstance(arr, str) else arr
@@ -97,6 +146,11 @@ def list_size(arr: str | Column) -> Column:
     return F.when(a.isNull(), F.raise_error(F.lit("list is null"))).otherwise(F.size(a))
 
 
+def csv_row(fields: Sequence[str | Column]) -> Column:
+    """A row as one CSV line, with its line break."""
+    return F.concat(F.concat_ws(",", *[csv_field(F.col(f) if isinstance(f, str) else f) for f in fields]), F.lit("\n"))
+
+
 def csv_lines(arr: str | Column, fields: Sequence[str]) -> Column:
     """One CSV line, with its line break, per list item in list order."""
     a = F.col(arr) if isinstance(arr, str) else arr

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalar import left_chars
-from ledgerflow.operators.nested import as_objects, csv_base64, csv_lines, list_size, one_document, ordered_chunks
+from ledgerflow.operators.nested import as_objects, csv_base64, csv_row, ordered_document
 from ledgerflow.plans.catalog import register
 from ledgerflow.sinks.writers import outbox
 from ledgerflow.sources.files import parse_json_column
@@ -37,8 +37,7 @@ def notice_payload(to: Column, company_name: Column, siret: Column, n_items: Col
 def attachments(items: DataFrame, group: str, order: list[str], fields: list[str]) -> DataFrame:
     """``group, n_items, attachment``: a company's records, sorted, as one CSV with one
     header, in base64."""
-    chunks = ordered_chunks(items, [group], order, fields, name="rows")
-    docs = one_document(chunks, [group], csv_lines("rows", fields), list_size("rows"), head=",".join(ATTACHMENT_HEADER) + "\n")
+    docs = ordered_document(items, [group], order, csv_row(fields), head=",".join(ATTACHMENT_HEADER) + "\n")
     return docs.select(group, "n_items", csv_base64("document").alias("attachment"))
 
 

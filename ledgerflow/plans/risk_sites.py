@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalar import left_chars
 from ledgerflow.operators.joins import replace_children, upsert
-from ledgerflow.operators.nested import explode_children
+from ledgerflow.operators.nested import explode_children, union_of_keys
 from ledgerflow.operators.reshape import align_columns, drop_falsy, rename_columns, select_columns
 from ledgerflow.plans.catalog import register
 from ledgerflow.session import scratch_path
@@ -162,6 +162,34 @@ def explode_children_q(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumnRenamed("codeAIOT", "code_aiot")
 
 
+# ---------------------------------------------------------------------------------------------
+# union_of_keys (N7): landed site records as JSON lines, of which each has the keys it has a value for;
+# one key is a number in some and a text in others.
+
+@register("union_of_keys", """
+SELECT s_suppkey AS "codeAIOT", CASE WHEN s_nationkey = 1 THEN NULL ELSE s_name || ' "x"' END AS "raisonSociale",
+       CASE WHEN s_suppkey % 10 = 0 THEN CAST(s_nationkey AS BIGINT) END AS bovins, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal END AS longitude,
+       CASE s_suppkey % 3 WHEN 0 THEN CAST(s_nationkey AS VARCHAR) WHEN 1 THEN 'about ' || CAST(s_nationkey AS VARCHAR) END AS rayon,
+       CASE WHEN s_suppkey % 4 = 0 THEN '[{"n":' || CAST(s_nationkey AS VARCHAR) || '}]' END AS rubriques, s_suppkey % 2 = 0 AS seveso
+FROM supplier
+""")
+def union_of_keys_q(spark: SparkSession, sf: str) -> DataFrame:
+    s = read_table(spark, sf, "supplier")
+    key = F.col("s_suppkey")
+    number = F.to_json(F.struct(F.when(key % 3 == 0, F.col("s_nationkey")).alias("rayon")))
+    text = F.to_json(F.struct(F.when(key % 3 == 1, F.concat(F.lit("about "), F.col("s_nationkey").cast("string"))).alias("rayon")))
+    rest = F.to_json(F.struct(
+        key.alias("codeAIOT"), F.when(F.col("s_nationkey") != 1, F.concat("s_name", F.lit(' "x"'))).alias("raisonSociale"),
+        F.when(key % 10 == 0, F.col("s_nationkey")).alias("bovins"), F.when(key % 3 == 0, F.col("s_acctbal")).alias("longitude"),
+        F.when(key % 4 == 0, F.array(F.struct(F.col("s_nationkey").alias("n")))).alias("rubriques"), (key % 2 == 0).alias("seveso")))
+    # an object without keys is {}
+    joined = F.concat(F.regexp_replace(rest, r"\}$", ""), F.regexp_replace(F.when(key % 3 == 0, number).otherwise(text), r"^\{(?=.)", ","))
+    record = F.regexp_replace(joined, r",\}$", "}")
+    path = scratch_path(spark, "union_of_keys")
+    s.select(record.alias("value")).write.text(path)
+    return union_of_keys(spark.read.text(path))
+
+
 # ---------------------------------------------------------------------------------------------
 # incremental_upsert (I2/J6): three landings, keys new in two of them, two streams.
 
