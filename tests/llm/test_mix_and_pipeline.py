@@ -22,7 +22,7 @@ def shingles(text):
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = catalog.queries()[name](spark, SF)
     res = con.execute(catalog.oracle_sql()[name])
@@ -143,3 +143,23 @@ def test_pipeline_stages(spark, tmp):
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "size", "target", "taken"} <= set(rows.columns) and 0 < rows.count() < 200
+
+
+def test_tiny_sources_beside_a_large_one_follow_the_same_schedule(make_docs):
+    """Against the query's SQL; every source meets its target to a word."""
+    import duckdb
+    import pandas as pd
+    rnd = random.Random(4)
+    rows = [(i, " ".join(["w"] * rnd.randrange(1, 4000)), "b-large") for i in range(900)]
+    rows += [(2000 + i, " ".join(["w"] * n), f"t{i}") for i, n in enumerate((1, 2, 3, 40, 700))]
+    rows += [(3000 + i, "x " * 50, "c") for i in range(30)] + [(None, f"no id {i}", "c") for i in range(40)] + [(None, "no id 1", "c"), (None, None, "c"), (5, "", None), (6, "one two", None)]
+    docs = make_docs(rows)
+    got = sorted((tuple(r) for r in mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source").collect()), key=str)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "text": [r[1] for r in rows], "source": [r[2] for r in rows]}))
+    want = sorted(con.execute(f"SELECT doc_id, size, source_size, target, taken, source FROM ({mixing.ORACLE})").fetchall(), key=str)
+    assert got == want
+    for source in {r[5] for r in got}:
+        mine = [r for r in got if r[5] == source]
+        assert abs(sum(r[4] for r in mine) - mine[0][3]) <= 0.5
+        assert all(r[4] <= 3 * r[1] for r in mine)
