@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import centroids, decontaminate, line_dedup, mixing
+from ledgerflow.llm import centroids, decontaminate, line_dedup, mixing, substring_dedup, suffix_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,8 +34,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerflow.llm.suffix_dedup import suffix_digest
-    return suffix_digest(table(spark, sf_dir, "documents"))
+    return suffix_dedup.suffix_digest(table(spark, sf_dir, "documents"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +51,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerflow.llm.substring_dedup import substring_digest
-    return substring_digest(table(spark, sf_dir, "documents"))
+    return substring_dedup.substring_digest(table(spark, sf_dir, "documents"))
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +80,8 @@ def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[QueryFn] = [op1_token_counts, op2_suffix_dedup, op3_line_dedup, op4_quality_rules, op5_quality_classifier, op6_lm_score,
                           op7_decontamination, op8_substring_dedup, op9_simhash_dedup, op10_source_mix, op11_toxicity, op12_centroid_clusters, op13_turn_repair]
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontaminate.ORACLE, "op10_source_mix": mixing.ORACLE,
-                              "op12_centroid_clusters": centroids.ORACLE}
+                              "op12_centroid_clusters": centroids.ORACLE,
+                              "op2_suffix_dedup": suffix_dedup.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
 
 
 def queries() -> dict[str, QueryFn]:

@@ -12,7 +12,8 @@ them. Candidate pairs are then verified on the shingles themselves.
 The sketches (a fifth of the items' shingles or a little more) and the candidates are counted
 before use: up to ``SMALL_ROWS`` rows are broadcast, beyond that they are shuffled.
 
-Defined results: a null or empty document or item has no shingles and matches nothing; documents
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null or empty document or item has no shingles and matches nothing; documents
 that repeat a doc_id with the same text give one result row for an item; a null doc_id or item_id
 is kept as such; an empty table gives no rows."""
 

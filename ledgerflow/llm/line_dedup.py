@@ -10,7 +10,8 @@ position; each range streams the first occurrence of a line and returns keep bit
 3. What goes back is one compressed bitmap for each document, batch and range (1: the line stays),
    joined to the documents. Texts cross the network once, for that join.
 
-Keys are 128 bits of two independent 64-bit hashes. Defined results: a null or empty text is one
+Keys are 128 bits of two independent 64-bit hashes. Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null or empty text is one
 empty line; a null doc_id comes after all others and rows without one count as one document; rows
 that repeat a doc_id are one document for the rule, and each such row is returned with its own
 lines decided; an empty table gives no rows."""

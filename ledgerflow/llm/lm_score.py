@@ -13,7 +13,8 @@
   ranges of the hash, with the documents that hold them; a range sums the training counts over all
   blocks and returns each block's partial sums. A word in every document is one entry in a block.
 
-Words are identified by 64-bit hashes. Defined results: a null text is empty (its only token is
+Words are identified by 64-bit hashes. Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null text is empty (its only token is
 the end; score 0); a null doc_id is a training row, passed through; rows that repeat are counted
 each; an empty table gives no rows; with nothing to train on, all bytes are equally likely."""
 

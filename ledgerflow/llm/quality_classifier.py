@@ -7,7 +7,8 @@ two total sizes, the calibrated inputs are (b - g) / (b + g) and (b + g) / bytes
 text is an input. Dictionaries and calibration are fitted on separate halves of a bounded sample
 (``per_class`` rows of each class); the broadcast model is two dictionaries of ``DICT_BYTES``.
 
-Defined results: a null text is empty and gets the score that no evidence gives; a null doc_id is
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null text is empty and gets the score that no evidence gives; a null doc_id is
 passed through and is not held out; rows that repeat are scored each; an empty table gives no
 rows; without labelled rows every score is 0.5, with one class it is that class's smoothed share."""
 

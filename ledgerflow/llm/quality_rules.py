@@ -7,7 +7,8 @@ regression, probability-calibrated, against a fixed threshold.
 * Scoring reads every whole text in Arrow batches of about 4 MB; one batch is one pass of array
   operations, with no shuffle. The broadcast model has a fixed size (3 x 2^16 floats).
 
-Defined results: a null text is empty (no words, base_failed, not kept); a null doc_id is passed
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null text is empty (no words, base_failed, not kept); a null doc_id is passed
 through; rows that repeat are each judged by themselves; an empty table gives no rows; without
 labelled rows (or with one class) the model's verdict is that class, or keep when there is none."""
 

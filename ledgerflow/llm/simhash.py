@@ -11,7 +11,8 @@ one place and none is capped.
 
 Copies with one fingerprint are one node. Components are found by joins (``_graph``).
 
-Defined results: a null text is empty and has fingerprint zero, which links like any other; a null
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null text is empty and has fingerprint zero, which links like any other; a null
 doc_id is passed through and never the component's id (a component of such rows only has none);
 rows that repeat are returned each; an empty table gives no rows."""
 

@@ -10,7 +10,8 @@ neighbouring ones are glued to long spans. See ``_windows`` for the steps.
 An edge is repeated when its word sequence starts at another place, in the same document or any
 other. Words are compared by 64-bit hashes of their bytes, as they are.
 
-Defined results: a null or empty text has no words (the digest of the empty string); a null doc_id is passed
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null or empty text has no words (the digest of the empty string); a null doc_id is passed
 through; rows that repeat are places of their own, so each makes the other repeated; an empty table
 gives no rows; texts shorter than a window are returned whole."""
 
@@ -75,3 +76,18 @@ def substring_digest(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                                              names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return removed_spans(docs, width).mapInArrow(digest, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS MATERIALIZED (SELECT rid, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM d),
+win AS (SELECT rid, i, string_agg(word, ' ') OVER u AS win, count(*) OVER u AS n FROM w
+        WINDOW u AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+again AS (SELECT md5(win) AS h FROM win WHERE n = 35 GROUP BY 1 HAVING count(*) > 1),
+hit AS (SELECT rid, i FROM win WHERE n = 35 AND md5(win) IN (SELECT h FROM again)),
+c AS (SELECT w.rid, w.i, w.word, max(CASE WHEN hit.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY w.rid ORDER BY w.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+      FROM w LEFT JOIN hit ON w.rid = hit.rid AND w.i = hit.i),
+k AS (SELECT rid, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY rid)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.rid = k.rid
+"""

@@ -9,7 +9,8 @@ external induced sort puts in order with their common prefixes (``_induced``): s
 
 Strings are judged on the input and matches never cross documents.
 
-Defined results: a null or empty text is empty; a null doc_id comes after all others, rows without
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null or empty text is empty; a null doc_id comes after all others, rows without
 one being one document; rows that repeat a doc_id are one document for the rule, and each is
 returned; an empty table gives no rows; texts shorter than ``width`` are returned whole."""
 
@@ -77,3 +78,20 @@ def suffix_digest(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                                               pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return removed_spans(docs, width).mapInArrow(digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+
+
+ORACLE = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS MATERIALIZED (SELECT rid, doc_id, p, md5(substr(x, 2 * p + 1, 100)) AS h FROM (SELECT rid, doc_id, x, unnest(range(length(x) // 2 - 49)) AS p FROM d WHERE length(x) >= 100)),
+own AS (SELECT h, min(doc_id) AS least FROM s GROUP BY h HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT s.rid, s.p FROM s JOIN own ON s.h = own.h AND s.doc_id > own.least),
+e AS (SELECT rid, p, lag(p) OVER (PARTITION BY rid ORDER BY p) AS before FROM hit),
+r AS (SELECT rid, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY p) AS run FROM e),
+spans AS (SELECT rid, run, min(p) AS a, max(p) + 50 AS b FROM r GROUP BY rid, run),
+pieces AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS from_b, max(b) OVER (PARTITION BY rid) AS last_b FROM spans),
+k AS (SELECT z.rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+             string_agg(substr(x, 2 * from_b + 1, 2 * (a - from_b)), '' ORDER BY a) || substr(any_value(x), 2 * any_value(last_b) + 1) AS kept FROM pieces z JOIN d ON z.rid = d.rid GROUP BY z.rid)
+SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN k ON d.rid = k.rid
+"""

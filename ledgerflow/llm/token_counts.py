@@ -9,7 +9,8 @@ it, so it may be fitted on a bounded sample of documents (``sample_docs``), whol
 A text that holds a special token's string, or a character on which the two implementations of the
 split pattern could differ, is encoded whole by the library instead, with its defaults.
 
-Defined results: a null text is empty (0 bytes, 0 tokens); a null doc_id is passed through; rows
+Defined results: the digests ignore other columns, whatever their
+names, and filters return all of them; a null text is empty (0 bytes, 0 tokens); a null doc_id is passed through; rows
 that repeat are counted each; an empty table gives no rows."""
 
 from __future__ import annotations

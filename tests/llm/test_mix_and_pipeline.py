@@ -1,5 +1,6 @@
 """Operators 7 and 10 and the pipeline; queries against their SQL."""
 
+import random
 import re
 from collections import Counter
 

@@ -273,3 +273,31 @@ def test_cluster_sql(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
     want = sorted(con.execute(f"SELECT vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256 FROM ({centroids.ORACLE})").fetchall(), key=str)
     assert as_rows(centroids.centroid_clusters(spark.read.parquet(f"{SF}/embeddings.parquet"))) == want
+
+
+# -- clashing columns ----------------------------------------------------------------------------
+
+CLASHES = ["key", "text_hash", "cells", "part", "payload", "h", "size", "s", "cell", "at", "score", "held_out", "y", "fp", "component_id", "kept", "n_words",
+           "masks", "line_masks", "judged_text", "first", "place", "mark_doc", "block", "target", "taken", "item_id", "words", "DOC", "harm"]
+
+
+@pytest.mark.parametrize("name", ["token_counts", "suffix", "lines", "rules", "classifier", "lm", "contamination", "substring", "simhash", "mix"])
+def test_other_columns_change_nothing(spark, make_docs, odd_rows, name):
+    import public_tokenizers
+
+    from ledgerflow.llm import catalog, decontaminate, line_dedup, lm_score, mixing, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (5, 1, 0), (5, 0, 0), (6, 1, 1), (9, 0, 1)], LABELS)
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, "one two three four five")], "item_id bigint, text string")
+    run = {"token_counts": lambda d: token_counts.token_counts(d, public_tokenizers.path(catalog.TOKENIZER)), "suffix": suffix_dedup.suffix_digest,
+           "lines": line_dedup.line_digest, "rules": lambda d: quality_rules.quality_rules(d, labels),
+           "classifier": lambda d: quality_classifier.quality_classifier(d, labels), "lm": lm_score.lm_scores,
+           "contamination": lambda d: decontaminate.contamination(d, items), "substring": substring_dedup.substring_digest,
+           "simhash": simhash.simhash_digest, "mix": mixing.mix_sources}[name]
+    docs = make_docs([r for r in odd_rows if r[0] != 6])
+    more = docs.selectExpr("*", *[f"{i} AS `{c}`" for i, c in enumerate(CLASHES)])
+
+    def rounded(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+    plain, other = run(docs), run(more)
+    assert plain.columns == other.columns and rounded(plain) == rounded(other)
