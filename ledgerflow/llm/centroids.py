@@ -8,15 +8,16 @@ when its product with the normal is above the threshold. Starting with centroid
 meets centroids 1, 2, ... in turn; a zero favours the smaller number, which the winner always has.
 k - 1 such sign tests leave the nearest centroid, and its distance is computed once, at the end.
 
-A round is one scan: tasks add up count and component sums of each cluster, and Spark adds the k rows
-of every task. What the driver holds is k centroids. Rounds only depend on the centroids before, not
-on earlier frames, so a lost executor costs a scan of its part.
+The integer vectors are made once and checkpointed, four bytes a component. A round is one scan of
+them: tasks add up count and component sums of each cluster, and Spark adds the k rows of every task.
+What the driver holds is k centroids. Rounds only depend on the centroids before, not on earlier
+frames, so a lost executor costs a scan of its part.
 
 Defined results: vectors that are null, have another number of components, or one that is null or
 not finite, aren't kept and give no row. A component beyond ``LARGEST`` after scaling is taken as
 ``LARGEST``, so that distances fit a long; an inertia beyond a long is null. A null vec_id is passed
 through but can't be a first centroid; rows that repeat count each; equal hashes (repeated ids) are
-ordered by components; with fewer kept vectors than ``k`` there are so many centroids; an empty
+ordered by their packed vectors; with fewer kept vectors than ``k`` there are so many centroids; an empty
 table gives no rows; other columns, whatever their names, are ignored."""
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm._graph import cut
+
 COMPONENTS, SCALE, K, ROUNDS, SEED = 64, 1024, 8, 10, "3"
 LARGEST = 1 << 27  # 64 * (2 * LARGEST)^2 is below 2^63
 
@@ -71,25 +74,36 @@ def distances(x: np.ndarray, centroids: np.ndarray, cluster: np.ndarray) -> np.n
     return (gap * gap).sum(1)
 
 
-def vectors(table: DataFrame) -> DataFrame:
-    return table.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+def integer_vectors(table: DataFrame, components: int = COMPONENTS, scale: int = SCALE) -> DataFrame:
+    """``vec_id, packed``: the kept vectors, each component four bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, x = integers(batch.column("embedding"), components, scale)
+            packed = [v.tobytes() for v in x.astype("<i4")]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").filter(pa.array(kept)), pa.array(packed, pa.binary())], names=["vec_id", "packed"])
+
+    plain = table.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    return plain.mapInArrow(run, "vec_id bigint, packed binary")
 
 
-def first_centroids(table: DataFrame, k: int = K, seed: str = SEED, components: int = COMPONENTS, scale: int = SCALE) -> np.ndarray:
-    """The kept vectors with the ``k`` smallest hashes of their id, in the order of the hash."""
-    kept = "vec_id IS NOT NULL AND size(embedding) = {n} AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
-    picked = vectors(table).where(kept.format(n=components)).orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256), "embedding").limit(k)
-    rows = [r["embedding"] for r in picked.collect()]
-    return integers(pa.array(rows, pa.list_(pa.float64())), components, scale)[1] if rows else np.zeros((0, components), np.int64)
+def unpacked(column, components: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, components).astype(np.int64)
 
 
-def sums(table: DataFrame, centroids: np.ndarray, components: int, scale: int) -> dict[int, tuple[int, list[int], int]]:
+def first_centroids(vectors: DataFrame, k: int = K, seed: str = SEED, components: int = COMPONENTS) -> np.ndarray:
+    """The vectors with the ``k`` smallest hashes of their id, in the order of the hash."""
+    hashed = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
+    picked = vectors.where("vec_id IS NOT NULL").orderBy(hashed, "packed").limit(k).collect()
+    return unpacked(pa.array([bytes(r["packed"]) for r in picked], pa.binary()), components)
+
+
+def sums(vectors: DataFrame, centroids: np.ndarray, components: int) -> dict[int, tuple[int, list[int], int]]:
     """For each cluster that isn't empty: its vectors, their component sums and distances."""
     k = len(centroids)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = integers(batch.column("embedding"), components, scale)[1]
+            x = unpacked(batch.column("packed"), components)
             cluster = tournament(x, centroids)
             far = distances(x, centroids, cluster)
             there = np.flatnonzero(np.bincount(cluster, minlength=k))
@@ -100,7 +114,7 @@ def sums(table: DataFrame, centroids: np.ndarray, components: int, scale: int) -
     n = components + 3
     # sums of parts are exact decimals: no row count overflows them
     total = [F.sum(F.col("parts")[i].cast("decimal(38,0)")).alias(f"p{i}") for i in range(n)]
-    parts = vectors(table).select("embedding").mapInArrow(add_up, "cluster int, parts array<bigint>").groupBy("cluster").agg(*total)
+    parts = vectors.select("packed").mapInArrow(add_up, "cluster int, parts array<bigint>").groupBy("cluster").agg(*total)
     out = {}
     for r in parts.collect():
         p = [int(r[f"p{i}"]) for i in range(n)]
@@ -115,11 +129,12 @@ def centroid_digest(centroid: np.ndarray) -> str:
 def centroid_clusters(table: DataFrame, k: int = K, rounds: int = ROUNDS, seed: str = SEED, components: int = COMPONENTS, scale: int = SCALE) -> DataFrame:
     """``vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256`` of every kept vector
     (see the module's docstring)."""
-    centroids = first_centroids(table, k, seed, components, scale)
+    vectors = cut(integer_vectors(table, components, scale))
+    centroids = first_centroids(vectors, k, seed, components)
     for _ in range(rounds if len(centroids) else 0):
-        for c, (count, total, _) in sums(table, centroids, components, scale).items():
+        for c, (count, total, _) in sums(vectors, centroids, components).items():
             centroids[c] = [t // count for t in total]
-    last = sums(table, centroids, components, scale) if len(centroids) else {}
+    last = sums(vectors, centroids, components) if len(centroids) else {}
 
     def fits(n: int) -> int | None:
         return n if n < 1 << 63 else None
@@ -130,17 +145,17 @@ def centroid_clusters(table: DataFrame, k: int = K, rounds: int = ROUNDS, seed:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, x = integers(batch.column("embedding"), components, scale)
+            x = unpacked(batch.column("packed"), components)
             if not len(centroids):
                 continue
             cluster = tournament(x, centroids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id").filter(pa.array(kept)), pa.array(cluster, pa.int32()), pa.array(distances(x, centroids, cluster)),
+                [batch.column("vec_id"), pa.array(cluster, pa.int32()), pa.array(distances(x, centroids, cluster)),
                  pa.array([inertia[c] for c in cluster], pa.int64()), pa.array([whole] * len(x), pa.int64()),
                  pa.array([digests[c] for c in cluster], pa.string())],
                 names=["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"])
 
-    return vectors(table).mapInArrow(assign, SCHEMA)
+    return vectors.mapInArrow(assign, SCHEMA)
 
 
 def oracle(rounds: int = ROUNDS) -> str:
