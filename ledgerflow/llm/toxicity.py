@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import _linear as linear
 from ledgerflow.llm import _text as tx
-from ledgerflow.llm._frames import doc_texts
+from ledgerflow.llm._frames import doc_texts, shuffle_partitions
 from ledgerflow.llm._graph import cut
 from ledgerflow.llm._labels import labelled_sample
 from ledgerflow.llm._pack import pack, pack_sorted, unpack
@@ -168,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict:
     prior = min(0.99, max(0.01, 0.5 if shares is None else float(shares)))
     half = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("half")), F.lit(2))
     sample = labelled_sample(docs, labels, per_class, mine, "toxic").select("text", (F.col("y") + 2 * half).cast("int").alias("part"))
-    rows = cut(sample.mapInArrow(row_features, "part int, buckets binary"))
+    # the sample comes as one sorted part
+    rows = cut(sample.repartition(shuffle_partitions(spark)).mapInArrow(row_features, "part int, buckets binary"))
     sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(4)]
     counted = rows.mapInArrow(add_up, "bucket bigint, n0 bigint, n1 bigint, n2 bigint, n3 bigint").groupBy("bucket").agg(*sums).toArrow()
     size = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
