@@ -15,8 +15,9 @@ tell by itself. Files are read as lines in byte ranges (Spark's text splits):
 Quotes have to be as RFC 4180 has them (doubled inside cells, none in unquoted cells); a file whose
 quotes don't pair is an error. Empty lines between records are skipped. A file whose first line ends
 in ``\\r\\n`` has such ends throughout, also inside quotes, where they become ``\\n`` (as in Spark's
-reader). Ranges are of a fixed size in a session of their own, so both passes see the same ones,
-however many executors there are by then."""
+reader). Ranges are of a fixed size in a session of their own, so all passes see the same ones,
+however many executors there are by then. The number of tasks doesn't follow that of small ranges:
+a task takes several of them, one after the other."""
 
 from __future__ import annotations
 
@@ -29,9 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.joins import fits_broadcast
-from ledgerflow.session import ship_with_tasks
+from ledgerflow.session import checkpoint_root, ship_with_tasks
 
 SPLIT_BYTES = 64 << 20
+TASKS = 1000  # of a pass over a path, or two for each core if that is more; beyond, a task takes several ranges
 
 
 def file_bytes(spark: SparkSession, path: str) -> list[int]:
@@ -57,6 +59,7 @@ def _lines(spark: SparkSession, path: str, split_bytes: int) -> DataFrame:
     own = spark.newSession()
     own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.files.maxPartitionNum", str(max(TASKS, 2 * spark.sparkContext.defaultParallelism)))
     lines = own.read.option("lineSep", "\n").text(path)
     return lines.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
@@ -211,6 +214,8 @@ def read_records(spark: SparkSession, path: str, header: bool, split_bytes: int
         heads = ranges.join(lines, same).select("file", "block", "begun", "value").mapInArrow(lambda batches: first_lines(batches, long_ends), "file bigint, block bigint, begun bigint, text string")
         parts = F.array_sort(F.collect_list(F.struct("block", "text")))
         rest = heads.groupBy(F.col("file").alias("rest_file"), F.col("begun").alias("rest_block")).agg(F.concat_ws("\n", F.transform(parts, lambda x: x["text"])).alias("rest"))
+        checkpoint_root(spark)
+        rest = rest.checkpoint()  # so that the lines are read once for the size and the join
         rest = F.broadcast(rest) if fits_broadcast(rest) else rest
         whole = F.when(F.col("rest").isNull(), F.col("record")).otherwise(F.concat_ws("\n", "record", "rest"))
         rows = rows.join(rest, F.col("unfinished") & (F.col("file") == F.col("rest_file")) & (F.col("block") == F.col("rest_block")), "left") \

@@ -53,6 +53,18 @@ def test_a_cell_longer_than_several_ranges(spark, tmp):
     same(spark, f"{tmp}/in", 100)
 
 
+def test_few_tasks_take_many_ranges(spark, tmp, monkeypatch):
+    make_file(f"{tmp}/in/a.csv", 3, 400, long_cell=20)
+    make_file(f"{tmp}/in/b.csv", 4, 100)
+    monkeypatch.setattr(quoted, "TASKS", 3, raising=False)
+    lines = quoted._lines(spark, f"{tmp}/in", 40)
+    tasks, ranges = lines.select(F.spark_partition_id()).distinct().count(), lines.select("file", "block").distinct().count()
+    assert 1 < tasks <= max(3, 2 * spark.sparkContext.defaultParallelism) < ranges / 10
+    got = same(spark, f"{tmp}/in", 40)
+    assert got.count() == 501
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1  # not again for the ends of cut records
+
+
 def test_files_up_to_the_size_are_left_to_the_plain_reader(spark, tmp, monkeypatch):
     make_file(f"{tmp}/in/a.csv", 1, 20)
     size = max(quoted.file_bytes(spark, f"{tmp}/in"))
